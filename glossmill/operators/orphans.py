@@ -25,7 +25,7 @@ POINTERS = (
     r"(?:system message:\s*)?for .+?,\s*(?:please )?see\s+(.+)",
     r"please see\s*:?\s+(.+)",
     r"(?:→|⇒|->|=>)\s*(.+)",
-    r"(?:this (?:entry|page|article) (?:has been|was) )?(?:moved|merged|redirected)(?: in)?to\s+(.+)",
+    r"(?:this (?:entry|page|article) (?:has been|was) )?(?:moved|merged|redirected)\s+(?:in)?to\s+(.+)",
     r"(?:#\s*)?redirects?(?: to)?\s*:?\s+(.+)",
 )
 
