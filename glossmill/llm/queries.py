@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import groups, residue, tokens
+from . import groups, residue, tokens, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,8 @@ def queries() -> dict[str, Query]:
         "p1_clean": lambda s, d: residue.clean_records(table(s, d, "pages"), table(s, d, "entries")),
         "p4_found": lambda s, d: groups.title_groups(table(s, d, "redirects"), table(s, d, "entries")),
         "p4_sizes": lambda s, d: groups.group_sizes(table(s, d, "redirects"), table(s, d, "entries")),
+        "p5_found": lambda s, d: truncation.truncated_found(table(s, d, "pages"), table(s, d, "entries")),
+        "p5_rates": lambda s, d: truncation.truncation_rates(table(s, d, "pages"), table(s, d, "entries")),
         "p6_ids": lambda s, d: tokens.token_ids(table(s, d, "documents")),
         "p6_spans": lambda s, d: tokens.token_spans(table(s, d, "documents")),
         "p6_round_trip": lambda s, d: tokens.round_trip(table(s, d, "documents")),

@@ -123,6 +123,8 @@ FILLERS = [re.compile(p) for p in (
 LOREM = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split())
 # Words of sites and programs; several in one short template mark a message.
 MACHINE = frozenset("browser javascript server website webpage request error http cookies login password account session expired reload refresh connection url unavailable maintenance loading disabled captcha verify administrator permission unauthorized timeout gateway proxy database query exception plugin cache network address wiki site page retry download upload serveur navigateur seite fehler página navegador servidor".split())
+# Names of fields; a short sentence made of them is a form that nobody filled in.
+FIELDS = frozenset("name race class place origin reason species subject author profession rank city country date year person character location group hometown faction occupation floor".split())
 
 
 def verdict_of(template: list[str]) -> str | None:
@@ -134,6 +136,9 @@ def verdict_of(template: list[str]) -> str | None:
     lorem = sum(w in LOREM for w in words)
     if lorem >= 4 and lorem >= 0.6 * len(words):
         return "filler"
+    fields = sum(w in FIELDS for w in words)
+    if fields >= 4 and fields >= 0.4 * len(words):
+        return "filler"
     if any(p.search(text) for p in FILLERS):
         return "filler"
     if any(p.search(text) for p in MESSAGES):
@@ -148,7 +153,7 @@ _LOW = r"[a-z][a-z0-9_.]*"
 SLOTS = re.compile("|".join((
     r"\{\{\{?[^{}]*\}\}\}?", r"\{%[^{}]*%\}", r"<%[^<>]*%>", rf"[$#]\{{\s*{_NAME}\s*\}}", rf"\{{{_LOW}\}}",
     rf"@@{_NAME}@@", r"%[A-Z][A-Z0-9_.]{2,}%", r"__[A-Z][A-Z0-9_.]*__", rf"\${_LOW}\$", rf"\[\[{_LOW}\]\]", rf"<{_LOW}>",
-    r"\[(?:[a-z][\w.]*|your [\w ]+) here\]", r"\[(?:INSERT|ADD|ENTER|YOUR|TODO|TBD|PLACEHOLDER)\b[^\[\]]*\]", r"\[(?:[Ee]ditor|[Aa]uthor|[Ww]riter|[Nn]ote to \w+): [^\[\]]*\]?", r"\[object \w+\]",
+    r"\[(?:[a-z][\w.]*|your [\w ]+) here\]", r"\[(?:INSERT|ADD|ENTER|YOUR|TODO|TBD|PLACEHOLDER)\b[^\[\]]*\]", r"\[(?:[Ee]ditor|[Aa]uthor|[Ww]riter|[Nn]ote to \w+): [^\[\]]*\]?", r"\[object \w+\]", r"(?<!\w)(?:X{3,}|Y{3,}|Z{3,})(?!\w)",
 )))
 _VOIDS = re.compile(r"(?<!\w)(?:undefined|null|NaN|None|\(none\)|\(null\)|N/A)(?!\w)")
 
