@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import groups, residue, tokens, truncation
+from . import groups, mainbody, residue, tokens, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "p1_found": lambda s, d: residue.residue_found(table(s, d, "pages"), table(s, d, "entries")),
         "p1_kinds": lambda s, d: residue.residue(table(s, d, "pages"), table(s, d, "entries")),
         "p1_clean": lambda s, d: residue.clean_records(table(s, d, "pages"), table(s, d, "entries")),
+        "p3_found": lambda s, d: mainbody.main_body(table(s, d, "pages")),
         "p4_found": lambda s, d: groups.title_groups(table(s, d, "redirects"), table(s, d, "entries")),
         "p4_sizes": lambda s, d: groups.group_sizes(table(s, d, "redirects"), table(s, d, "entries")),
         "p5_found": lambda s, d: truncation.truncated_found(table(s, d, "pages"), table(s, d, "entries")),
