@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import groups, mainbody, residue, tokens, truncation
+from . import groups, mainbody, packing, quality, residue, tokens, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def queries() -> dict[str, Query]:
         "p6_ids": lambda s, d: tokens.token_ids(table(s, d, "documents")),
         "p6_spans": lambda s, d: tokens.token_spans(table(s, d, "documents")),
         "p6_round_trip": lambda s, d: tokens.round_trip(table(s, d, "documents")),
+        "p7_packed": lambda s, d: packing.packed(table(s, d, "documents"), table(s, d, "capacities")),
+        "p7_fill": lambda s, d: packing.fill_report(table(s, d, "documents"), table(s, d, "capacities")),
+        "p8_found": lambda s, d: quality.not_prose(table(s, d, "documents"), table(s, d, "common_words")),
+        "p8_stats": lambda s, d: quality.quality(table(s, d, "documents"), table(s, d, "common_words")),
+        "p8_report": lambda s, d: quality.quality_report(table(s, d, "documents"), table(s, d, "common_words")),
     }
 
 
