@@ -123,7 +123,7 @@ def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD) -> D
     items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), shards))
     open_items = items.where("n_tokens > 0 AND n_tokens < capacity").drop("n_docs")
     # a piece as large as the container fills one by itself: its number is made of its own identity, below zero
-    full = items.where("n_tokens = capacity").select("container", (-F.abs(F.xxhash64("doc_id", "piece") % F.lit(1 << 62)) - 1).alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
+    full = items.where("n_tokens = capacity").select("container", (-(F.shiftleft("doc_id", 20) + F.col("piece")) - 1).alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
     none = items.where("n_tokens = 0").select("container", F.lit(None).cast("bigint").alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
     return open_items.groupBy("container", "shard").applyInPandas(_fill_group, schema).unionByName(full).unionByName(none)
 
