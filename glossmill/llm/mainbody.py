@@ -158,6 +158,12 @@ def mapped(wrapper: Node, tree: Node) -> list[int]:
     return out
 
 
+def _prune(node: Node, wanted: set[int]) -> bool:
+    """Takes off containers that hold neither a wanted node nor the page's heading."""
+    node.children = [c for c in node.children if _prune(c, wanted)]
+    return bool(node.children or node.title or id(node) in wanted)
+
+
 _BLANKS = re.compile(r"\s+")
 _TAG = re.compile(r"<[^>]*>")
 _DIGITS = re.compile(r"\d+")
@@ -241,6 +247,7 @@ def page_of(html: str, host: str) -> tuple[Node, list[tuple]]:
             inner.heading = ""
             open_.append((tag, inner))
     end_p(len(html))
+    _prune(root, {id(r[1]) for r in found})
     order = {id(n): i for i, n in enumerate(root.walk())}
     out, seen = [], set()
     for number, node, text, place in found:
@@ -331,9 +338,8 @@ def paragraphs(pages: DataFrame) -> DataFrame:
 def _known(ps: DataFrame, column: str) -> DataFrame:
     """Values of ``column`` that hardly ever stand in content, on hosts whose content has a container of its own."""
     n = ps.groupBy(column).agg(F.count_if("sure_template").alias("t"), F.count_if("sure_content").alias("c"))
-    all_ = ps.agg(F.count_if("sure_template").alias("all_templates"))
-    n = n.where((F.col("t") >= KNOWN) & (F.col("c") <= PURE * F.col("t"))).join(F.broadcast(all_), F.col("t") >= EVIDENCE * F.col("all_templates"))
-    return n.select(column)
+    all_templates = ps.agg(F.count_if("sure_template")).first()[0]
+    return n.where((F.col("t") >= max(KNOWN, EVIDENCE * all_templates)) & (F.col("c") <= PURE * F.col("t"))).select(column)
 
 
 def main_body(pages: DataFrame) -> DataFrame:
@@ -343,9 +349,9 @@ def main_body(pages: DataFrame) -> DataFrame:
     sizes = ps.groupBy("host").agg(F.countDistinct("pageid").alias("n_pages"))
     texts = ps.where("first").groupBy("host", "text").agg(F.count("*").alias("n"))
     often = texts.where(F.col("n") >= LEAST).join(sizes, "host").where(F.col("n") >= OFTEN * F.col("n_pages")).select("host", "text")
-    everywhere = texts.groupBy("text").agg(F.sum("n").alias("n"), F.count("*").alias("hosts")).where(f"hosts >= 3 AND n >= {2 * LEAST}")
-    total = sizes.agg(F.sum("n_pages").alias("all_pages"))
-    everywhere = everywhere.join(F.broadcast(total), F.col("n") >= OFTEN * F.col("all_pages")).select("text", F.lit(True).alias("everywhere"))
+    all_pages = sizes.agg(F.sum("n_pages")).first()[0] or 0
+    everywhere = texts.groupBy("text").agg(F.sum("n").alias("n"), F.count("*").alias("hosts")).where((F.col("hosts") >= 3) & (F.col("n") >= max(2 * LEAST, OFTEN * all_pages)))
+    everywhere = everywhere.select("text", F.lit(True).alias("everywhere"))
     ps = ps.join(often.withColumn("often", F.lit(True)), ["host", "text"], "left").join(everywhere, "text", "left")
     ps = cut(ps.withColumn("template_text", F.col("often").isNotNull() | F.col("everywhere").isNotNull()).drop("often", "everywhere"), "texts")
     slots = ps.groupBy("slot", "node", "host", "place", "region").agg(F.count("*").alias("n"), F.count_if("template_text").alias("n_template"))
