@@ -94,6 +94,9 @@ class Node:
             yield from c.walk()
 
 
+ANCHOR = 1000  # weight of a pair that both hold the page's own heading: it is the one place that every page has
+
+
 def matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching of two trees with equal root labels: size of the largest top-down matching that
     keeps order, and its pairs of children of the two roots."""
@@ -107,6 +110,8 @@ def matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
             best = size[i - 1][j] if size[i - 1][j] >= size[i][j - 1] else size[i][j - 1]
             if x.label == y.label:
                 w = matching(x, y)[0] if x.children and y.children else 1
+                if x.title and y.title:
+                    w += ANCHOR
                 weight[i, j] = w
                 if size[i - 1][j - 1] + w > best:
                     best = size[i - 1][j - 1] + w
