@@ -232,9 +232,9 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("path", "tokens", "n", "example")), pa.array(found, pa.string())], names=["path", "tokens", "n", "example", "verdict"])
 
 
-def sentences(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """Masked sentences of each record; a record with an unresolved slot has one row with ``slot`` true instead."""
-    return cut(records(pages, entries).mapInArrow(_to_sentences, _SENTENCES), "sentences")
+def sentences(found: DataFrame) -> DataFrame:
+    """Masked sentences of (rec_table, rec_id, text); a record with an unresolved slot has one row with ``slot`` true instead."""
+    return cut(found.select("rec_table", "rec_id", "text").mapInArrow(_to_sentences, _SENTENCES), "sentences")
 
 
 def templates(found: DataFrame) -> DataFrame:
@@ -253,7 +253,12 @@ def judged_sentences(found: DataFrame) -> DataFrame:
 
 def residue(pages: DataFrame, entries: DataFrame) -> DataFrame:
     """(rec_table, rec_id, kind): records that hold residue; kind is slot, message or filler."""
-    found = sentences(pages, entries)
+    return residue_of(records(pages, entries))
+
+
+def residue_of(texts: DataFrame) -> DataFrame:
+    """The same for any records (rec_table, rec_id, text)."""
+    found = sentences(texts)
     slots = found.where("slot").select("rec_table", "rec_id", F.lit("slot").alias("verdict"))
     both = slots.unionByName(judged_sentences(found))
     return both.groupBy("rec_table", "rec_id").agg(F.max("verdict").alias("kind"))

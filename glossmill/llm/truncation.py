@@ -107,13 +107,13 @@ def _bit(h: np.ndarray) -> np.ndarray:
     return ((h.view(np.uint64) >> np.uint64(11)) % np.uint64(BITS)).astype(np.int64)
 
 
-_TAILS = "rec_table string, rec_id bigint, host string, lang string, signed boolean, broken boolean, text_hash bigint, contexts array<bigint>"
+_TAILS = "rec_table string, rec_id bigint, host string, text string, lang string, signed boolean, broken boolean, text_hash bigint, contexts array<bigint>"
 
 
 def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Values that don't end with a sentence, with their final contexts."""
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
-    names = ["rec_table", "rec_id", "host", "lang", "signed", "broken", "text_hash", "contexts"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
+    names = ["rec_table", "rec_id", "host", "text", "lang", "signed", "broken", "text_hash", "contexts"]
     for batch in batches:
         rows, ends = [], []
         for kind, key, host, text, h in zip(*(batch[c].to_pylist() for c in ("rec_table", "rec_id", "host", "text", "text_hash"))):
@@ -124,7 +124,7 @@ def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signed = bare != plain
             if not broken and not signed and _END.search(plain):
                 continue
-            rows.append((kind, key, host, language_of(bare), signed, broken, h))
+            rows.append((kind, key, host, text, language_of(bare), signed, broken, h))
             ends.append(mask_of(bare) or " ")
         if not rows:
             continue
@@ -170,7 +170,7 @@ def _values(pages: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def scored(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """(rec_table, rec_id, host, lang, signed, broken, odds): log-odds of an end for values that don't end a sentence."""
+    """(rec_table, rec_id, host, text, lang, signed, broken, odds): log-odds of an end for values that don't end a sentence."""
     values = cut(_values(pages, entries), "values")
     tails = cut(values.where(pointer_target(F.col("text")).isNull()).mapInArrow(_tails, _TAILS), "tails")
     events = tails.select("text_hash", F.explode("contexts").alias("h")).distinct()
@@ -186,15 +186,15 @@ def scored(pages: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def truncated(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """(rec_table, rec_id, host): truncated values; residue is left out by an anti join."""
+    """(rec_table, rec_id, host): truncated values, without those that are residue."""
     s = cut(scored(pages, entries), "scored")
     # the threshold lies between the mean log-odds of likely ends and of likely goings-on, per language and column
     sides = s.groupBy("rec_table", "lang").agg(F.avg(F.when(F.col("odds") >= 0, F.col("odds"))).alias("high"), F.avg(F.when(F.col("odds") < 0, F.col("odds"))).alias("low"))
     limits = sides.select("rec_table", "lang", F.least(F.greatest((F.coalesce("high", F.lit(1.0)) + F.coalesce("low", F.lit(-1.0))) / 2, F.lit(-1.0)), F.lit(1.0)).alias("limit"))
     at = s.join(F.broadcast(limits), ["rec_table", "lang"])  # two columns by five languages
     cut_off = F.col("broken") | F.coalesce(F.col("odds") < F.col("limit"), F.col("signed"))
-    found = at.where(cut_off).select("rec_table", "rec_id", "host").distinct()
-    return found.join(residue.residue_found(pages, entries), ["rec_table", "rec_id"], "left_anti")
+    found = cut(at.where(cut_off).select("rec_table", "rec_id", "host", "text"), "found")
+    return found.drop("text").distinct().join(residue.residue_of(found), ["rec_table", "rec_id"], "left_anti")
 
 
 def truncated_found(pages: DataFrame, entries: DataFrame) -> DataFrame:
