@@ -70,7 +70,7 @@ def forwarding(entries: DataFrame, rounds: int = 30) -> DataFrame:
         done = cut(done, "done")
         more = open_.join(done.select(F.col("pos").alias("next"), "final"), "next").select("pos", "final")
         left = open_.join(more.select("pos"), "pos", "left_anti")
-        hop = left.select(F.col("pos").alias("next"), F.col("next").alias("hop"))
+        hop = open_.select(F.col("pos").alias("next"), F.col("next").alias("hop"))
         jumped = left.join(hop, "next").select("pos", F.col("hop").alias("next")).where("pos <> next")
         if more.isEmpty() and jumped.isEmpty():
             break

@@ -30,8 +30,11 @@ def mentions(entries: DataFrame, longest: int = 15) -> DataFrame:
     words = entries.select("pos", "title", pieces(F.col("plain")).alias("p"))
     if not sizes:
         return entries.select("pos", F.col("title").alias("target"), F.lit(0).alias("at")).where(F.lit(False))
-    guarded = F.flatten(F.array(*[F.when(F.size("p") >= n, F.filter(F.transform(F.sequence(F.lit(0), F.greatest(F.size("p") - n, F.lit(0))), lambda i, n=n: F.struct(i.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice("p", i + 1, n), "").alias("target"))), lambda x: x.target.rlike(r"^[\p{Lu}\p{N}]"))).otherwise(F.array().cast("array<struct<at:int,n:int,target:string>>")) for n in sizes]))
-    each = words.select("pos", "title", F.explode(guarded).alias("g")).select("pos", "title", "g.at", "g.n", "g.target")
+    # titles begin with a capital or a digit: only such pieces are begins
+    begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size("p") - 1, F.lit(0))), lambda i: F.get("p", i).rlike(r"^[\p{Lu}\p{N}]"))
+    words = words.select("pos", "title", "p", F.explode(begins).alias("at"))
+    guarded = F.array(*[F.struct(F.lit(n).alias("n"), F.array_join(F.slice("p", F.col("at") + 1, n), "").alias("target")) for n in sizes])
+    each = words.select("pos", "title", "at", F.explode(guarded).alias("g")).select("pos", "title", "at", "g.n", "g.target").where(F.length("target") > 0)
     hits = each.join(titles.select("target"), "target").where("target <> title")
     # leftmost-longest without overlaps: a hit inside an earlier-beginning longer one is not a mention
     w = Window.partitionBy("pos").orderBy("at", F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup
 from ..functions import text as X
+from ..plans.lineage import cut
 
 STATLINE = r"(?iU)\b(?:loot|reward|cost|target|duration|range|cooldown|type|source)\s*:"
 
@@ -29,7 +30,8 @@ def lower_first(fragment: Column) -> Column:
 def summaries(pages: DataFrame, most: int | None = None) -> DataFrame:
     """(pageid, title, status, summary): status is ok, or empty where nothing was found."""
     p = pages.select("pageid", "title", "raw_html").distinct()
-    p = p.select("pageid", "title", markup.blocks("raw_html").alias("b"), markup.ai_description("raw_html").alias("ai"), markup.infobox_line("title", "raw_html").alias("box"))
+    # the parsers' output is written once: what follows uses each column several times
+    p = cut(p.select("pageid", "title", markup.blocks("raw_html").alias("b"), markup.ai_description("raw_html").alias("ai"), markup.infobox_line("title", "raw_html").alias("box")), "blocks")
     intro, later = F.col("b.intro"), F.filter("b.later", lambda x: ~_bare(x).rlike(STATLINE))
     first, second, third = F.get(intro, F.lit(0)), F.get(intro, F.lit(1)), F.get(later, F.lit(0))
     p = p.select("pageid", "title", "ai", "box", first.alias("first"), second.alias("second"), third.alias("third"))
