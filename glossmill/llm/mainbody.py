@@ -317,7 +317,8 @@ def _map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 OFTEN = 0.003  # share of a host's pages, and
 LEAST = 3  # pages, that make a text template
-MOSTLY = 0.5  # share of template text that makes a slot template
+MOSTLY = 0.5  # share of template text that makes a container inside the title's node template
+ALMOST = 0.85  # the same for other slots: text of the page may stand between notices there
 EVIDENCE = 0.0005  # share of template places, and
 KNOWN = 5  # places, that make first words known
 PURE = 0.02  # share of content places that known template words may have
@@ -362,7 +363,7 @@ def main_body(pages: DataFrame) -> DataFrame:
     slots = ps.groupBy("slot", "node", "host", "place", "region").agg(F.count("*").alias("n"), F.count_if("template_text").alias("n_template"))
     # inside the title's node a container is one slot, whatever heading it stands under
     nodes = slots.groupBy("node").agg((F.sum("n_template") >= MOSTLY * F.sum("n")).alias("template_node"))
-    slots = slots.join(nodes, "node").withColumn("template_slot", F.when(F.col("place") == 2, F.col("template_node")).otherwise(F.col("n_template") >= MOSTLY * F.col("n")))
+    slots = slots.join(nodes, "node").withColumn("template_slot", F.when(F.col("place") == 2, F.col("template_node")).otherwise(F.col("n_template") >= ALMOST * F.col("n")))
     slots = cut(slots.drop("node", "template_node"), "slots")
     # a host has a content container of its own where the title's node holds hardly any template text
     own = slots.where("place = 1").groupBy("host").agg((F.sum("n_template") <= OWN * F.sum("n")).alias("own"))
