@@ -30,6 +30,10 @@ POINTERS = (
 )
 
 
+#: How a pointer begins: only texts that begin so are held against the forms.
+BEGINS = r"(?iu)^(?:siehe|voir|véase|see|duplicate|system message|for |please|→|⇒|->|=>|moved|merged|redirect|#|this (?:entry|page|article))"
+
+
 def pointer_target(definition: Column) -> Column:
     """The title that a definition sends the reader to, or null where it says more than that.
 
@@ -38,7 +42,8 @@ def pointer_target(definition: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.regexp_replace(definition, r"</?[A-Za-z][^<>]*>", ""), r"(?U)\s+", " "))
     found = F.coalesce(*[F.nullif(F.regexp_extract(plain, rf"(?iu)^{p}$", 1), F.lit("")) for p in POINTERS])
     found = F.regexp_replace(F.regexp_replace(found, r"^\[\[|\]\]\s*\.?$", ""), r"\s*\.\s*$", "")
-    return F.when(~found.rlike(r"[.!?]\s+\S") | found.rlike(r"^(?:\S+ )?(?:Mr|Mrs|Ms|Dr|St)\. \S+( \S+)?$"), F.nullif(found, F.lit("")))
+    one = ~found.rlike(r"[.!?]\s+\S") | found.rlike(r"^(?:\S+ )?(?:Mr|Mrs|Ms|Dr|St)\. \S+( \S+)?$")
+    return F.when(definition.rlike(rf"^(?:\s|</?[A-Za-z][^<>]*>)*(?:{BEGINS.replace('^', '', 1)})") & one, F.nullif(found, F.lit("")))
 
 
 def references(redirects: DataFrame, entries: DataFrame) -> DataFrame:

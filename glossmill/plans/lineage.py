@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -20,6 +21,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_written: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _clean() -> None:
+    """Steps live as long as their session's program: results that nobody has read yet may need them."""
+    for path, spark in _written.items():
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session has gone before
+            return
+
+
 def cut(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` written to the shared folder and read again, so that no later loss of an executor repeats its work.
 
@@ -28,6 +43,7 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}.parquet"
     df.write.option("compression", "zstd").parquet(path)
+    _written[path] = spark
     return spark.read.schema(df.schema).parquet(path)
 
 
