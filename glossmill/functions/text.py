@@ -97,3 +97,47 @@ def kobo_prefix(word: Column) -> Column:
     p = F.trim(head)
     padded = F.rpad(p, 2, "a")
     return F.when(p == "", "11").when(p.rlike(r"^\p{IsCyrillic}"), p).when(padded.rlike(r"^[\p{L}]{2}$"), padded).otherwise("11")
+
+
+def page_url(base: Column, title: Column) -> Column:
+    """Address of a wiki page: blanks to underscores, percent-encoded, slashes, colons and parentheses kept."""
+    t = F.replace(F.url_encode(F.replace(title, F.lit(" "), F.lit("_"))), F.lit("+"), F.lit("%20"))
+    for code, kept in (("%2F", "/"), ("%3A", ":"), ("%28", "("), ("%29", ")"), ("*", "%2A"), ("%7E", "~")):
+        t = F.replace(t, F.lit(code), F.lit(kept))
+    return F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/wiki/"), t)
+
+
+#: A release number: no leading zeros, numeric parts of a pre-release without them either.
+VERSION = r"^v?(0|[1-9]\d*)\.(0|[1-9]\d*)\.(0|[1-9]\d*)(?:-((?:0|[1-9]\d*|\d*[a-zA-Z-][0-9a-zA-Z-]*)(?:\.(?:0|[1-9]\d*|\d*[a-zA-Z-][0-9a-zA-Z-]*))*))?$"
+
+
+def version(text: Column) -> Column:
+    """struct(major, minor, patch, prerelease, tag) of a release number, or null where it isn't one."""
+    part = lambda i: F.regexp_extract(text, VERSION, i)
+    tail = F.when(part(4) != "", F.concat(F.lit("-"), part(4))).otherwise("")
+    return F.when(text.rlike(VERSION), F.struct(part(1).cast("bigint").alias("major"), part(2).cast("bigint").alias("minor"), part(3).cast("bigint").alias("patch"), F.nullif(part(4), F.lit("")).alias("prerelease"), F.concat(F.lit("v"), part(1), F.lit("."), part(2), F.lit("."), part(3), tail).alias("tag")))
+
+
+def identifier(folded: Column) -> Column:
+    """A component of an identifier from ASCII text; an error where nothing is left of it."""
+    s = F.regexp_replace(F.regexp_replace(folded, r"[^A-Za-z0-9.]+", "-"), r"^-+|-+$", "")
+    return F.when(s != "", s).otherwise(F.raise_error(F.lit("empty identifier component")).cast("string"))
+
+
+def extra_inflections(word: Column) -> Column:
+    """Lower-case and possessive variants of a lookup word, without the word itself."""
+    low = F.lower(word)
+    return F.filter(F.array_distinct(F.array(low, F.concat(word, F.lit("'s")), F.concat(word, F.lit("’s")), F.concat(low, F.lit("'s")), F.concat(low, F.lit("’s")))), lambda x: x != word)
+
+
+def band_colour(value: Column, bands: tuple[tuple[float, str], ...], rest: str) -> Column:
+    """The first band whose floor ``value`` reaches."""
+    out = F.lit(rest)
+    for floor, colour in reversed(bands):
+        out = F.when(value >= floor, colour).otherwise(out)
+    return out
+
+
+def badge(label: Column, message: Column, colour: Column) -> Column:
+    """A badge's JSON."""
+    return F.to_json(F.struct(F.lit(1).alias("schemaVersion"), label.alias("label"), message.alias("message"), colour.alias("color")))

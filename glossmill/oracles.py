@@ -187,3 +187,15 @@ SQL |= {
  z AS (SELECT pageid, string_agg(category, ', ' ORDER BY seq, category) AS c FROM y GROUP BY pageid)
 SELECT p.pageid, (CASE WHEN z.pageid IS NOT NULL THEN 1 ELSE 0 END)::INT AS in_scope, coalesce(z.c, p.source_category) AS source_category FROM p LEFT JOIN z ON z.pageid = p.pageid""",
 }
+
+SQL |= {
+    "page_urls": f"WITH {_E} SELECT pos, regexp_extract(url, '^(https?://[^/]+)', 1) || '/wiki/' || replace(replace(replace(replace(url_encode(replace(title, ' ', '_')), '%2F', '/'), '%3A', ':'), '%28', '('), '%29', ')') AS made, url FROM e",
+    "badges": f"""WITH {_E} SELECT category, '{{"schemaVersion":1,"label":"' || category || '","message":"' || format('{{:,}}', n) || '","color":"' || CASE WHEN n >= 1000 THEN 'brightgreen' WHEN n >= 500 THEN 'green' WHEN n >= 1 THEN 'yellow' ELSE 'red' END || '"}}' AS badge FROM (SELECT category, count(*) AS n FROM (SELECT DISTINCT unnest(source_categories) AS category, pos FROM e) WHERE category IS NOT NULL GROUP BY 1)""",
+    "inflections": f"WITH {_E} SELECT DISTINCT pos, form FROM (SELECT pos, title, unnest([lower(title), title || '''s', title || '’s', lower(title) || '''s', lower(title) || '’s']) AS form FROM e) WHERE form <> title",
+    "lookup_words": f"""WITH {_E}, w AS (SELECT pos, title AS word, title AS target, 0 AS rank FROM e UNION ALL SELECT pos, unnest(redirect_aliases), title, 1 FROM e),
+ k AS (SELECT * FROM (SELECT *, lower(word) AS key, row_number() OVER (PARTITION BY lower(word), target ORDER BY rank, pos, word) AS rn FROM w WHERE coalesce(word, '') <> '') WHERE rn = 1)
+SELECT first_value(word) OVER o AS word, row_number() OVER o AS ord, target FROM k WINDOW o AS (PARTITION BY key ORDER BY rank, pos, word)""",
+    "known_good": """WITH a AS (SELECT *, status IN ('ok', 'empty') AS good, row_number() OVER (PARTITION BY pageid ORDER BY fetched_at DESC NULLS LAST, error DESC NULLS LAST, first_paragraph DESC NULLS LAST, in_scope DESC NULLS LAST) AS last FROM pages WHERE pageid IS NOT NULL),
+ g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pageid ORDER BY last) AS rn FROM a WHERE good) WHERE rn = 1), p AS (SELECT * FROM a WHERE last = 1)
+SELECT p.pageid, p.title, coalesce(g.status, 'error') AS status, CASE WHEN g.pageid IS NULL THEN p.error ELSE g.error END AS error, CASE WHEN NOT p.good AND g.pageid IS NOT NULL THEN coalesce(p.error, 'error') END AS last_attempt_error, p.fetched_at FROM p LEFT JOIN g ON g.pageid = p.pageid""",
+}

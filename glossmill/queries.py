@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import markup
@@ -311,6 +311,34 @@ def page_json(s: SparkSession, d: str) -> DataFrame:
     return j.select("pageid", F.try_variant_get(v, "$.parse.revid", "bigint").alias("revid"), F.try_variant_get(v, "$.parse.title", "string").alias("title"))
 
 
+def page_urls(s: SparkSession, d: str) -> DataFrame:
+    e = lookup.once(table(s, d, "entries"))
+    return e.select("pos", X.page_url(F.regexp_extract("url", r"^(https?://[^/]+)", 1), F.col("title")).alias("made"), "url")
+
+
+def badges(s: SparkSession, d: str) -> DataFrame:
+    """Number of usable entries per category as badges."""
+    e = lookup.once(table(s, d, "entries")).select(F.explode("source_categories").alias("category"), "pos").distinct()
+    n = e.where("category IS NOT NULL").groupBy("category").agg(F.count("*").alias("n"))
+    colour = X.band_colour(F.col("n"), ((1000, "brightgreen"), (500, "green"), (1, "yellow")), "red")
+    return n.select("category", X.badge(F.col("category"), F.format_number("n", 0), colour).alias("badge"))
+
+
+def inflections(s: SparkSession, d: str) -> DataFrame:
+    e = lookup.once(table(s, d, "entries"))
+    return e.select("pos", F.explode(X.extra_inflections(F.col("title"))).alias("form"))
+
+
+def lookup_words(s: SparkSession, d: str) -> DataFrame:
+    """(word, ord, target): titles and redirect names as words with all their entries, exact titles first."""
+    e = lookup.once(table(s, d, "entries"))
+    w = e.select("pos", F.col("title").alias("word"), F.col("title").alias("target"), F.lit(0).alias("rank")).unionByName(e.select("pos", F.explode("redirect_aliases").alias("word"), F.col("title").alias("target"), F.lit(1).alias("rank")))
+    w = w.where("word IS NOT NULL AND word <> ''").withColumn("key", F.lower("word")).groupBy("key", "target").agg(F.min(F.struct("rank", "pos")).alias("k"), F.min_by("word", F.struct("rank", "pos", "word")).alias("word"))
+    shown = w.groupBy("key").agg(F.min_by("word", F.struct("k", "word")).alias("shown"))
+    order = Window.partitionBy("key").orderBy("k")
+    return w.join(shown, "key").select(F.col("shown").alias("word"), F.row_number().over(order).alias("ord"), "target")
+
+
 QUERIES: dict[str, Query] = {
     "p2_found": lambda s, d: orphans.orphans(*_orphan_tables(s, d)),
     "p2_report": lambda s, d: orphans.orphan_report(*_orphan_tables(s, d)),
@@ -325,7 +353,7 @@ QUERIES: dict[str, Query] = {
     page_latest, known_good, scope_synced, resume, redirect_statuses, crawl_counts, listing_categories, pages_per_category, title_chunks, metadata,
     audit_findings, audit_counts, audit_severity, cleanup, title_collisions,
     index_rows, index_synonyms, index_violations, ranks, sections, shards, headwords, definitions, combined,
-    title_mentions, tag_inventory, page_summaries, page_details, hosts, digests, page_json,
+    page_urls, badges, inflections, lookup_words, title_mentions, tag_inventory, page_summaries, page_details, hosts, digests, page_json,
 )}
 
 

@@ -62,3 +62,11 @@ def test_words(spark):
     assert {r.w: r.p for r in df.select("w", X.kobo_prefix(F.col("w")).alias("p")).collect()} == cases
     df = spark.createDataFrame([("A first. And more",), ("None",), ("",)], "t string")
     assert rows(df.select(X.first_sentence(F.col("t")).alias("s"))) == [("",), ("A first.",), ("None",)]
+
+
+def test_versions_and_names(spark):
+    df = spark.createDataFrame([("v1.2.3",), ("1.2.3-rc.1",), ("01.2.3",), ("1.2",), ("1.2.3-01",), (None,)], "t string")
+    assert [r.v and (r.v.major, r.v.prerelease, r.v.tag) for r in df.select(X.version(F.col("t")).alias("v")).collect()] == [(1, None, "v1.2.3"), (1, "rc.1", "v1.2.3-rc.1"), None, None, None, None]
+    assert spark.range(1).select(X.identifier(F.lit(" My Dict! 1.0 "))).first()[0] == "My-Dict-1.0"
+    with pytest.raises(Exception, match="empty identifier"):
+        spark.range(1).select(X.identifier(F.lit("!!"))).collect()
