@@ -128,3 +128,23 @@ def tag_inventory(pages: DataFrame, column: str) -> DataFrame:
     """(tag, n): start tags in a column of HTML."""
     tags = F.regexp_extract_all(F.coalesce(column, F.lit("")), F.lit("<([A-Za-z][A-Za-z0-9]*)"), F.lit(1))
     return pages.select(F.explode(F.transform(tags, lambda t: F.lower(t))).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+
+
+def shard_violations(scanned: DataFrame, allowed_tags: tuple[str, ...] = ("a", "b", "br", "div", "i", "li", "p", "ul", "var", "variant", "w", "html"), hrefs: tuple[str, ...] = ()) -> DataFrame:
+    """(check, word): what breaks a prefix-sharded dictionary (prefix, headword, variants, html); must be empty."""
+    from functools import reduce
+
+    words = scanned.select("prefix", "headword", F.explode(F.concat(F.array("headword"), "variants")).alias("form"))
+    placed = words.groupBy("headword", "prefix").agg(F.bool_or(X.kobo_prefix(F.col("form")) == F.col("prefix")).alias("ok"))
+    heads = words.select(fold("form").alias("w"), "headword").distinct().groupBy("w").agg(F.count("*").alias("n"), F.min("headword").alias("word"))
+    tags = F.transform(F.regexp_extract_all("html", F.lit("</?([A-Za-z][A-Za-z0-9]*)"), F.lit(1)), lambda t: F.lower(t))
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    fits = (lambda h: reduce(lambda a, b: a | b, [h.startswith(p) for p in hrefs])) if hrefs else (lambda h: F.lit(False))
+    parts = [
+        placed.where("NOT ok").select(F.lit("wrong shard").alias("check"), F.col("headword").alias("word")),
+        heads.where("n > 1").select(F.lit("word of two headwords").alias("check"), "word"),
+        scanned.where("headword IS NULL OR trim(headword) = ''").select(F.lit("no headword").alias("check"), F.col("headword").alias("word")),
+        scanned.where(F.size(F.array_except(tags, F.array(*[F.lit(t) for t in allowed_tags]))) > 0).select(F.lit("tag not allowed").alias("check"), F.col("headword").alias("word")),
+        scanned.where(F.exists(links, lambda h: ~fits(h))).select(F.lit("link not allowed").alias("check"), F.col("headword").alias("word")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -40,3 +40,45 @@ def mentions(entries: DataFrame, longest: int = 15) -> DataFrame:
     w = Window.partitionBy("pos").orderBy("at", F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
     free = hits.withColumn("covered", F.max(F.col("at") + F.col("n")).over(w)).where("covered IS NULL OR at >= covered")
     return free.groupBy("pos", "target").agg(F.min("at").alias("at"))
+
+
+def _linked(definitions, targets, prefix: str):
+    import re
+    from html import escape
+
+    import pyarrow as pa
+
+    out = []
+    for text, names in zip(definitions.to_pylist(), targets.to_pylist()):
+        if not text or not names:
+            out.append(text)
+            continue
+        todo = set(names)
+        by = re.compile(r"(?<!\w)(?:" + "|".join(re.escape(escape(n, quote=False)) for n in sorted(names, key=len, reverse=True)) + r")(?!\w)")
+        back = {escape(n, quote=False): n for n in names}
+
+        def put(m, todo=todo, back=back):
+            name = back[m[0]]
+            if name not in todo:
+                return m[0]
+            todo.discard(name)
+            return f'<a href="{escape(prefix + name, quote=True)}">{m[0]}</a>'
+
+        out.append("".join(p if p.startswith("<") and p.endswith(">") else by.sub(put, p) for p in re.split(r"(</?[bi]>)", text)))
+    return pa.array(out, pa.string())
+
+
+def linked(entries: DataFrame, found: DataFrame, prefix: str = "bword://") -> DataFrame:
+    """(pos, definition): safe inline definitions in which the first mention of each found title is a link.
+
+    ``found`` is (pos, target); the targets of a definition are bounded by its words.
+    """
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    def run(definitions: pa.Array, targets: pa.Array) -> pa.Array:
+        return _linked(definitions, targets, prefix)
+
+    run.__annotations__ = {"definitions": pa.Array, "targets": pa.Array, "return": pa.Array}
+    names = found.groupBy("pos").agg(F.collect_set("target").alias("targets"))
+    return entries.join(names, "pos", "left").select("pos", F.arrow_udf(run, T.StringType())("definition", F.coalesce("targets", F.array().cast("array<string>"))).alias("definition"))

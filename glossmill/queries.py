@@ -282,6 +282,11 @@ def title_mentions(s: SparkSession, d: str) -> DataFrame:
     return links.mentions(_entries(s, d))
 
 
+def linked_definitions(s: SparkSession, d: str) -> DataFrame:
+    e = _entries(s, d)
+    return links.linked(e.withColumn("definition", markup.sanitized("definition")), links.mentions(e))
+
+
 def tag_inventory(s: SparkSession, d: str) -> DataFrame:
     return index.tag_inventory(table(s, d, "pages").select("pageid", "raw_html").distinct(), "raw_html")
 
@@ -353,7 +358,7 @@ QUERIES: dict[str, Query] = {
     page_latest, known_good, scope_synced, resume, redirect_statuses, crawl_counts, listing_categories, pages_per_category, title_chunks, metadata,
     audit_findings, audit_counts, audit_severity, cleanup, title_collisions,
     index_rows, index_synonyms, index_violations, ranks, sections, shards, headwords, definitions, combined,
-    page_urls, badges, inflections, lookup_words, title_mentions, tag_inventory, page_summaries, page_details, hosts, digests, page_json,
+    page_urls, badges, inflections, lookup_words, title_mentions, linked_definitions, tag_inventory, page_summaries, page_details, hosts, digests, page_json,
 )}
 
 

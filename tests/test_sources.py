@@ -129,3 +129,43 @@ def test_config():
     for bad in ({"title": ""}, {"categories": []}, {"max_summary_length": 0}, {"sidebar_fields": [{"source": "x", "label": "a"}] * 2}):
         with pytest.raises(ValueError):
             project_from(data | bad)
+
+
+def test_shards_and_release(spark, words, tmp_path):
+    from glossmill.operators import index
+    from glossmill.sources import release
+
+    path = tmp_path / "in" / "k.zip"
+    path.parent.mkdir()
+    D.write_kobo(path, *words)
+    assert index.shard_violations(D.scan_kobo(spark, str(path))).isEmpty()
+    bad = spark.createDataFrame([("zz", "Carl", ["x"], '<script>1</script><a href="http://x">y</a>'), ("do", "Donut", ["carl"], "")], "prefix string, headword string, variants array<string>, html string")
+    assert {r.check for r in index.shard_violations(bad).collect()} == {"wrong shard", "word of two headwords", "tag not allowed", "link not allowed"}
+    release.write_archive(path.parent / "a.zip", [path], {"README.txt": "x"})
+    m = release.write_manifest(spark, path.parent, {"version": "v1.0.0"})
+    assert [f["name"] for f in m["files"]] == ["a.zip", "k.zip"] and all(len(f["sha256"]) == 64 for f in m["files"])
+    release.install(path.parent, tmp_path / "final")
+    (tmp_path / "again").mkdir()
+    release.install(tmp_path / "again", tmp_path / "final")
+    assert list((tmp_path / "final").iterdir()) == [] and not (tmp_path / "final.old").exists()
+
+
+def test_links(make):
+    from glossmill.operators import links
+
+    e = make("pos bigint, definition string", [{"pos": 1, "definition": "Carl met <b>Donut</b> &amp; Donut, not Donuts."}, {"pos": 2, "definition": None}])
+    found = make("pos bigint, target string", [{"pos": 1, "target": "Donut"}])
+    assert rows(links.linked(e, found)) == [(1, 'Carl met <b><a href="bword://Donut">Donut</a></b> &amp; Donut, not Donuts.'), (2, None)]
+
+
+def test_command(spark, make, tmp_path, monkeypatch):
+    from glossmill import cli
+
+    make("pages", [{"pageid": 1, "title": "Carl", "url": "https://h/wiki/Carl", "first_paragraph": "Carl is a delver & more.", "status": "ok", "in_scope": 1, "source_category": "Characters"}, {"pageid": 2, "title": "Fire Box", "url": "u", "first_paragraph": "A box of fire, closed.", "status": "ok", "in_scope": 1}]).write.parquet(str(tmp_path / "pages.parquet"))
+    make("redirects", [{"source_title": "The Crawler", "target_title": "Carl", "status": "ok"}]).write.parquet(str(tmp_path / "redirects.parquet"))
+    (tmp_path / "c.json").write_text(json.dumps({"fandom": "f", "title": "T", "author": "a", "source_name": "W", "categories": ["Characters"], "database_path": str(tmp_path), "build_dir": "b", "title_aliases": {"suffixes": [" Box"]}}))
+    for command, name in (("stardict", "T.idx"), ("kobo", "dicthtml.zip"), ("kindle", "T.xhtml"), ("health", None)):
+        assert cli.main([command, "-c", str(tmp_path / "c.json"), "-o", str(tmp_path / "out")]) == 0
+        assert name is None or (tmp_path / "out" / name).stat().st_size > 0
+    assert {r.word for r in D.scan_synonyms(spark, str(tmp_path / "out" / "T.syn")).collect()} == {"The Crawler", "Fire", "Carl's", "Carl’s"}
+    assert cli.main(["audit", "-c", str(tmp_path / "missing.json")]) == 1
