@@ -199,3 +199,22 @@ SELECT first_value(word) OVER o AS word, row_number() OVER o AS ord, target FROM
  g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pageid ORDER BY last) AS rn FROM a WHERE good) WHERE rn = 1), p AS (SELECT * FROM a WHERE last = 1)
 SELECT p.pageid, p.title, coalesce(g.status, 'error') AS status, CASE WHEN g.pageid IS NULL THEN p.error ELSE g.error END AS error, CASE WHEN NOT p.good AND g.pageid IS NOT NULL THEN coalesce(p.error, 'error') END AS last_attempt_error, p.fetched_at FROM p LEFT JOIN g ON g.pageid = p.pageid""",
 }
+
+
+def key_sql(t: str) -> str:
+    """A title's key, as far as SQL can go: wide letters made narrow stand for compatibility normalisation."""
+    return f"lower({_squeezed(f'''replace(split_part(nfc_normalize({_narrow(t)}), '#', 1), '_', ' ')''')})"
+
+
+_POINTER = rf"""regexp_replace(coalesce(nullif(regexp_extract(plain, '(?is)^(?:siehe|voir|véase|see)(?: also| auch| aussi)?\s*:\s*(.+)$', 1), ''), nullif(regexp_extract(plain, '(?is)^duplicate page\s*-\s*please see\s*:?\s+(.+)$', 1), ''), nullif(regexp_extract(plain, '(?is)^(?:system message:\s*)?for .+?,\s*(?:please )?see\s+(.+)$', 1), ''), nullif(regexp_extract(plain, '(?is)^please see\s*:?\s+(.+)$', 1), ''),
+ nullif(regexp_extract(plain, '(?is)^(?:→|⇒|->|=>)\s*(.+)$', 1), ''), nullif(regexp_extract(plain, '(?is)^(?:this (?:entry|page|article) (?:has been|was) )?(?:moved|merged|redirected)\s+(?:in)?to\s+(.+)$', 1), '')), '\s*\.\s*$', '')"""
+_ORPHANS = rf"""t AS (SELECT 'redirects' AS rec_table, {key_sql("source_title")} AS from_key, {key_sql("target_title")} AS to_key, fetched_at AS moment FROM redirects WHERE target_title IS NOT NULL
+  UNION SELECT 'entries', {key_sql("title")}, {key_sql("target")}, built_at FROM (SELECT title, built_at, {_POINTER} AS target FROM (SELECT title, built_at, {_bare("definition")} AS plain FROM entries WHERE definition IS NOT NULL)) WHERE target <> '' AND NOT regexp_matches(target, '[.!?]\s+\S')),
+ l AS (SELECT DISTINCT {key_sql("title")} AS k FROM list_pages),
+ r AS (SELECT {key_sql("source_title")} AS k, min(fetched_at) AS since FROM redirects WHERE {key_sql("source_title")} <> coalesce({key_sql("target_title")}, chr(1)) GROUP BY 1),
+ p AS (SELECT {key_sql("title")} AS k, min(fetched_at) AS since FROM pages GROUP BY 1),
+ d AS (SELECT DISTINCT {key_sql("title")} AS k, deleted_at, restored_at FROM deletions WHERE deleted_at IS NOT NULL),
+ j AS (SELECT t.*, l.k IS NOT NULL OR coalesce(r.since <= moment, false) OR (coalesce(p.since <= moment, false) AND NOT EXISTS (SELECT 1 FROM d WHERE d.k = t.to_key AND deleted_at <= moment AND (restored_at IS NULL OR restored_at > moment))) AS alive
+  FROM t LEFT JOIN l ON l.k = t.to_key LEFT JOIN r ON r.k = t.to_key LEFT JOIN p ON p.k = t.to_key)"""
+
+SQL["p2_found"] = f"WITH {_ORPHANS} SELECT DISTINCT rec_table, from_key, to_key, strftime(moment, '%Y-%m') AS ref_month FROM j WHERE NOT alive"
