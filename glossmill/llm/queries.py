@@ -34,4 +34,14 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from ..oracles import key_sql
+
+    groups_sql = f"""WITH RECURSIVE pairs AS (SELECT {key_sql("source_title")} AS a, {key_sql("target_title")} AS b FROM redirects WHERE source_title IS NOT NULL AND target_title IS NOT NULL
+  UNION SELECT {key_sql("title")}, {key_sql("alias")} FROM (SELECT title, unnest(redirect_aliases) AS alias FROM entries) WHERE title IS NOT NULL AND alias IS NOT NULL),
+ ends AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+ reach AS (SELECT DISTINCT a AS root, a AS v FROM ends UNION SELECT r.root, e.b FROM reach r JOIN ends e ON e.a = r.v WHERE e.b > r.root),
+ found AS (SELECT v AS title_key, min(root) AS group_key FROM reach GROUP BY v)"""
+    return {
+        "p4_found": f"{groups_sql} SELECT group_key, title_key FROM found",
+        "p4_sizes": f"{groups_sql} SELECT n_titles, count(*) AS n_groups FROM (SELECT group_key, count(*) AS n_titles FROM found GROUP BY 1) GROUP BY 1",
+    }
