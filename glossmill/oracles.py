@@ -218,3 +218,30 @@ _ORPHANS = rf"""t AS (SELECT 'redirects' AS rec_table, {key_sql("source_title")}
   FROM t LEFT JOIN l ON l.k = t.to_key LEFT JOIN r ON r.k = t.to_key LEFT JOIN p ON p.k = t.to_key)"""
 
 SQL["p2_found"] = f"WITH {_ORPHANS} SELECT DISTINCT rec_table, from_key, to_key, strftime(moment, '%Y-%m') AS ref_month FROM j WHERE NOT alive"
+
+
+def _esc(t: str) -> str:
+    return f"replace(replace(replace({t}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+_HTML = rf"""'<div class="entry"><p class="headword"><b>' || {_esc("title")} || '</b></p>' || CASE WHEN coalesce(spoiler_notice, '') <> '' THEN '<p class="spoiler-note"><b>Spoiler note:</b> ' || {_esc("spoiler_notice")} || '</p>' ELSE '' END || '<ul class="definition"><li>' || coalesce(definition, '') || '</li>'
+ || coalesce(array_to_string(list_transform(coalesce(details, []), lambda y: '<li><b>' || {_esc("y.label")} || ':</b> ' || {_esc("y.value")} || '</li>'), ''), '') || '</ul><p class="source">Source: ' || {_esc("title")} || ' on Delver Wiki<br />' || {_esc("coalesce(url, '')")} || '</p></div>'"""
+_PIECES = r"regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]')"
+
+SQL |= {
+    "definitions": f"WITH {_E} SELECT pos, {_HTML} AS html FROM e",
+    "combined": f"WITH {_LOOKUPS}, h AS (SELECT title, {_HTML} AS html FROM e) SELECT word, '<div class=\"multi-lookup\">' || string_agg(html, '' ORDER BY ord) || '</div>' AS definition FROM shared JOIN h ON h.title = shared.target GROUP BY word",
+    "index_synonyms": f"WITH {_LOOKUPS}, x AS (SELECT title, row_number() OVER (ORDER BY {_AL.format('title')}, title) - 1 AS ordinal FROM (SELECT DISTINCT title FROM e)) SELECT alias AS word, ordinal FROM accepted JOIN x ON x.title = accepted.target WHERE alias <> accepted.target",
+    "title_mentions": rf"""WITH {_PLAIN}, t AS (SELECT DISTINCT title AS target, len({_PIECES.format("title")}) AS n FROM e WHERE length(title) >= 4 OR regexp_matches(title, '[ \-'']')),
+ w AS (SELECT pos, title, {_PIECES.format("plain")} AS v FROM p), b AS (SELECT pos, title, v, unnest(range(len(v))) AS spot FROM w),
+ g AS (SELECT pos, title, spot, n, array_to_string(v[spot + 1:spot + n], '') AS target FROM b, (SELECT DISTINCT n FROM t) WHERE regexp_matches(v[spot + 1], '^[\p{{Lu}}\p{{N}}]') AND spot + n <= len(v)),
+ hit AS (SELECT g.* FROM g JOIN (SELECT DISTINCT target FROM t) USING (target) WHERE target <> title),
+ free AS (SELECT *, max(spot + n) OVER (PARTITION BY pos ORDER BY spot, n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered FROM hit)
+SELECT pos, target, min(spot)::INT AS at FROM free WHERE covered IS NULL OR spot >= covered GROUP BY pos, target""",
+}
+
+SQL["term_status"] = f"""WITH {_LOOKUPS}, terms AS (SELECT unnest(['Carl', 'Golem', '1000 Minor Delvers', 'Babex', 'Ring of Zeme Libram', 'Bagrorn-Drebol']) AS term),
+ s AS (SELECT lower(word) AS w, word AS s_word, string_agg(target, '|' ORDER BY ord) AS s_targets FROM shared GROUP BY word),
+ fo AS (SELECT *, row_number() OVER (PARTITION BY lower(alias) ORDER BY target DESC, spot DESC) AS rn FROM accepted),
+ x AS (SELECT term, s_word, s_targets, ct.title AS c_title, fo.alias AS a_form, fo.target AS a_target FROM terms LEFT JOIN s ON s.w = lower(term) LEFT JOIN ct ON ct.word = lower(term) LEFT JOIN fo ON lower(fo.alias) = lower(term) AND fo.rn = 1)
+SELECT term, CASE WHEN s_word IS NOT NULL THEN 'multi-target' WHEN c_title IS NOT NULL THEN 'canonical' WHEN a_form IS NOT NULL THEN 'alias' ELSE 'missing' END AS status, coalesce(s_word, c_title, a_form, term) AS shown, coalesce(s_targets, c_title, a_target, '') AS targets FROM x"""
