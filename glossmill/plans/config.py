@@ -32,7 +32,7 @@ class LookupRules:
 
 @dataclass(frozen=True)
 class Project:
-    fandom: str
+    wiki: str
     title: str
     author: str
     source_name: str
@@ -83,6 +83,7 @@ def project_from(data: dict) -> Project:
     )
     more = {"sidebar_fields": fields} if fields else {}
     return Project(
+        # fixed values: keys of the settings file
         *(_text(data, k) for k in ("fandom", "title", "author", "source_name")),
         categories=_texts(data, "categories", 1),
         database_path=_text(data, "database_path"),
