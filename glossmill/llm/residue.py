@@ -4,8 +4,10 @@ The sentences of all texts are masked (numbers, hosts, names) and mined with a f
 first levels are the number of tokens and the first tokens, a leaf holds templates, and a sentence joins the
 template it shares most positions with, where differing positions become wildcards. Each partition grows its
 own tree, so a sentence that a third of all records hold is one row before the first shuffle; the trees are
-then merged leaf by leaf. A template gets one verdict, and verdicts are propagated to the records by leaf and
-template. Unresolved slots inside otherwise ordinary records are found apart from that, in the records' text.
+then merged leaf by leaf. Each distinct masked sentence is judged before it joins a template, and only sentences of
+one verdict share a template, so no wildcard hides a telling word. Verdicts are propagated to the records by leaf and
+template; where a template has wildcards, the words in their place are judged too, so that a record's verdict is that
+of its own sentences whatever else the tables hold. Unresolved slots inside otherwise ordinary records are found apart from that, in the records' text.
 
 Defined cases: null, empty and blank texts are no cases; repeated rows count once; a text of any length is
 read whole; extra columns are ignored; empty tables give no rows.
@@ -65,16 +67,18 @@ def masked(sentence: str) -> tuple[str, list[str]]:
 
 
 class Leaf:
-    """Templates of one path: [tokens, number of sentences, an example]."""
+    """Templates of one path: [tokens, number of sentences, an example, the verdict that all their sentences have]."""
 
     __slots__ = ("templates",)
 
     def __init__(self):
         self.templates: list[list] = []
 
-    def add(self, tokens: list[str], count: int, example: list[str]) -> None:
+    def add(self, tokens: list[str], count: int, example: list[str], verdict: str | None = None) -> None:
         best, best_same = None, -1
         for t in self.templates:
+            if t[3] != verdict:
+                continue
             same = sum(map(eq, t[0], tokens))
             if same > best_same:
                 best, best_same = t, same
@@ -87,7 +91,7 @@ class Leaf:
             if best_same < len(tokens):
                 best[0] = [a if a == b else WILD for a, b in zip(best[0], tokens)]
         else:
-            self.templates.append([tokens, count, example])
+            self.templates.append([tokens, count, example, verdict])
 
 
 # Wording of messages of servers, sites, programs and browser checks, over masked lower-case text.
@@ -127,10 +131,10 @@ MACHINE = frozenset("browser javascript server website webpage request error htt
 FIELDS = frozenset("name race class place origin reason species subject author profession rank city country date year person character location group hometown faction occupation floor".split())
 
 
-def verdict_of(template: list[str]) -> str | None:
-    """``message``, ``filler`` or null (ordinary) for a template."""
-    text = " ".join(template)
-    words = [t for t in template if t[0].isalpha()]
+def verdict_of(tokens: list[str]) -> str | None:
+    """``message``, ``filler`` or null (ordinary) for a masked sentence."""
+    text = " ".join(tokens)
+    words = [t for t in tokens if t[0].isalpha()]
     if not words:
         return None
     lorem = sum(w in LOREM for w in words)
@@ -179,7 +183,7 @@ def records(pages: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 _SENTENCES = "rec_table string, rec_id bigint, slot boolean, path string, tokens array<string>"
-_TEMPLATES = "path string, tokens array<string>, n bigint, example array<string>"
+_TEMPLATES = "path string, tokens array<string>, n bigint, example array<string>, verdict string"
 
 
 def _to_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +204,8 @@ def _to_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _templates_batch(tree: dict[str, Leaf]) -> pa.RecordBatch:
     rows = [(path, *t) for path, leaf in tree.items() for t in leaf.templates]
-    kinds = (pa.string(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "tokens", "n", "example"])
+    kinds = (pa.string(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.string()), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "tokens", "n", "example", "verdict"])
 
 
 GROWN = 1 << 16  # templates that a partition's tree may hold before it is handed on; the merge unites the parts
@@ -212,12 +216,12 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tree: dict[str, Leaf] = {}
     size = 0
     for batch in batches:
-        for path, tokens, n, example in zip(*(batch[c].to_pylist() for c in ("path", "tokens", "n", "example"))):
+        for path, tokens, n, example, verdict in zip(*(batch[c].to_pylist() for c in ("path", "tokens", "n", "example", "verdict"))):
             leaf = tree.get(path)
             if leaf is None:
                 leaf = tree[path] = Leaf()
             before = len(leaf.templates)
-            leaf.add(tokens, n, example)
+            leaf.add(tokens, n, example, verdict)
             size += len(leaf.templates) - before
         if size > GROWN:
             yield _templates_batch(tree)
@@ -225,11 +229,37 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _templates_batch(tree)
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The verdict of a template is its own, or else its example's: a wildcard may stand for the telling word."""
+def _verdicts(sentences: list[list[str]], known: dict[str, str | None]) -> pa.Array:
+    """Verdict of each masked sentence; equal ones are judged once while ``known`` holds them."""
+    if len(known) > GROWN:
+        known.clear()
+    out = []
+    for tokens in sentences:
+        text = " ".join(tokens)
+        if text not in known:
+            known[text] = verdict_of(tokens)
+        out.append(known[text])
+    return pa.array(out, pa.string())
+
+
+def _grow_judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A tree per partition of sentences (path, tokens), each judged before its wording is lost in a template."""
+    known: dict[str, str | None] = {}
+
+    def judged() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            path, tokens = batch["path"], batch["tokens"]
+            one = pa.array([1] * len(path), pa.int64())
+            yield pa.RecordBatch.from_arrays([path, tokens, one, tokens, _verdicts(tokens.to_pylist(), known)], names=["path", "tokens", "n", "example", "verdict"])
+
+    return _grow(judged())
+
+
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (rec_table, rec_id, tokens) with the verdict of their own words."""
+    known: dict[str, str | None] = {}
     for batch in batches:
-        found = [verdict_of(t) or (verdict_of(x) if WILD in t else None) for t, x in zip(batch["tokens"].to_pylist(), batch["example"].to_pylist())]
-        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("path", "tokens", "n", "example")), pa.array(found, pa.string())], names=["path", "tokens", "n", "example", "verdict"])
+        yield pa.RecordBatch.from_arrays([batch["rec_table"], batch["rec_id"], _verdicts(batch["tokens"].to_pylist(), known)], names=["rec_table", "rec_id", "verdict"])
 
 
 def sentences(found: DataFrame) -> DataFrame:
@@ -238,17 +268,16 @@ def sentences(found: DataFrame) -> DataFrame:
 
 
 def templates(found: DataFrame) -> DataFrame:
-    """(path, tokens, n, example, verdict): the templates mined from all sentences and their verdicts."""
-    grown = found.where("NOT slot").select("path", "tokens", F.lit(1).cast("bigint").alias("n"), F.col("tokens").alias("example")).mapInArrow(_grow, _TEMPLATES)
-    merged = grown.repartition("path").sortWithinPartitions("path", F.desc("n")).mapInArrow(_grow, _TEMPLATES)
-    return merged.mapInArrow(_judge, f"{_TEMPLATES}, verdict string")
+    """(path, tokens, n, example, verdict): the templates mined from all sentences and the verdict of their sentences."""
+    grown = found.where("NOT slot").select("path", "tokens").mapInArrow(_grow_judged, _TEMPLATES)
+    return grown.repartition("path").sortWithinPartitions("path", F.desc("n")).mapInArrow(_grow, _TEMPLATES)
 
 
 def judged_sentences(found: DataFrame) -> DataFrame:
-    """(rec_table, rec_id, verdict) for each sentence under a template that isn't ordinary."""
-    bad = templates(found).where("verdict IS NOT NULL").select("path", F.col("tokens").alias("template"), "verdict")
+    """(rec_table, rec_id, verdict) for each sentence under a template that isn't ordinary and not ordinary itself."""
+    bad = templates(found).where("verdict IS NOT NULL").select("path", F.col("tokens").alias("template")).distinct()
     fits = F.forall(F.zip_with("tokens", "template", lambda a, b: (a == b) | (b == WILD)), lambda x: x)
-    return found.where("NOT slot").join(bad, "path").where(fits).select("rec_table", "rec_id", "verdict")
+    return found.where("NOT slot").join(bad, "path").where(fits).select("rec_table", "rec_id", "tokens").distinct().mapInArrow(_own, "rec_table string, rec_id bigint, verdict string").where("verdict IS NOT NULL")
 
 
 def residue(pages: DataFrame, entries: DataFrame) -> DataFrame:

@@ -37,6 +37,16 @@ def test_template_tree():
     assert residue.masked("Captain Carl met 40 cats at x.example")[0] == "7|captain|<*>|met" and residue.masked("GO BACK")[1] == ["go", "back"]
 
 
+def test_residue_judged_before_merging(spark, make):
+    turn = [f"Turn on {x}." for x in ("Carl and run", "Zev and run", "Javascript and reload", "Cookies and reload", "Donut and reload")]
+    pages = make("pages", [{"pageid": i, "title": "x", "first_paragraph": t} for i, t in enumerate(turn)])
+    want = [("pages", 2, "message"), ("pages", 3, "message")]
+    none = make("entries", [])
+    assert rows(residue.residue(pages.coalesce(1), none)) == rows(residue.residue(pages.repartition(4), none)) == want
+    mined = {(tuple(r.tokens), r.verdict, r.n) for r in residue.templates(residue.sentences(residue.records(pages, none))).collect()}
+    assert (("turn", "on", "<*>", "and", "reload"), "message", 2) in mined and sum(n for _, v, n in mined if v is None) == 3
+
+
 def test_truncation(make):
     frames = ["{} was sold to the warden of the {} for twelve coins and a brass key.", "{} is a gilded item found in the {} that lets its owner mend any fish trap once a day.", "Nobody in the {} has seen {} since, and the reward is still unclaimed."]
     names = [f"{a}{b}" for a in ("Kar", "Dol", "Mi", "Ves", "Tor", "Gru") for b in ("nak", "tin", "bor", "sel")]
