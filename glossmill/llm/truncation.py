@@ -175,7 +175,7 @@ def scored(pages: DataFrame, entries: DataFrame) -> DataFrame:
     tails = cut(values.where(pointer_target(F.col("text")).isNull()).mapInArrow(_tails, _TAILS), "tails")
     events = tails.select("text_hash", F.explode("contexts").alias("h")).distinct()
     ends = cut(events.groupBy("h").agg(F.count("*").alias("ends")), "ends")
-    goes = values.mapInArrow(_goings_on(_filter(ends)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("goes"))
+    goes = values.select("text_hash", "text").distinct().select("text").mapInArrow(_goings_on(_filter(ends)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("goes"))
     model = ends.join(goes, "h", "left").select("h", F.col("ends") - 1, F.coalesce("goes", F.lit(0)).alias("goes")).toDF("h", "ends", "goes")
     # a tuple of contexts is scored once, however many values end with it
     tuples = tails.select("contexts").distinct()

@@ -64,6 +64,16 @@ def test_truncation(make):
     assert rows(truncation.truncated_found(pages.limit(0), entries.limit(0))) == []
 
 
+def test_truncation_counts_equal_texts_once(make):
+    other = [f"The {w} stair was closed by the warden." for w in "abcdefgh"]
+    copied = "Every floor has keepers of the gate and they open it at dawn."
+    def odds(copies):
+        pages = make("pages", [{"pageid": i, "title": "x", "url": "https://h.example/x", "first_paragraph": t} for i, t in enumerate([*other, "Ten keepers of the gate", "Two keepers of the gate", "Six keepers of the gate", *[copied] * copies])])
+        entries = make("entries", [{"pos": i, "title": "x", "definition": copied} for i in range(copies - 1)])
+        return rows(truncation.scored(pages, entries), "rec_id", "odds")
+    assert len(odds(1)) == 3 and odds(40) == odds(1)
+
+
 def _page(i, host, wrap, promo="Support us with a small gift.", flat=False):
     names = ["Carl", "Donut", "Mordecai", "Katia", "Prepotente", "Odette", "Zev"]
     a, b = names[i % 7], names[(i * 3 + 1) % 7]
