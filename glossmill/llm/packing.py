@@ -8,11 +8,12 @@ of a set size, which are packed apart from each other; that leaves one container
 full. Inside a shard equal items are one class, so that each step is one product over the classes.
 
 Loss-bearing tokens: a text's first line is its prompt, all after it bears loss; a text of one line bears loss
-as a whole.
+as a whole. Their limit is a share of the capacity; at 1, as in the queries, the limit on tokens always binds first,
+since no table sets one and a lower limit would split texts that fit the capacity.
 
 Defined cases: null and empty texts have no tokens and get no container (bin null, piece 0); capacities that are
-null or not positive are no containers; a repeated capacity counts once; a text of any length is cut into full
-pieces and a rest, in order; equal items are interchangeable, the smaller doc_id goes first.
+null or not positive are no containers; a repeated capacity counts once; a text of any length is cut in order into
+pieces as large as the limits on tokens and loss-bearing tokens allow and a rest; equal items are interchangeable, the smaller doc_id goes first.
 """
 
 from __future__ import annotations
@@ -91,15 +92,18 @@ def fill(n_tokens: np.ndarray, n_loss: np.ndarray, capacity: int, segments: int,
 def _fill_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")
     capacity = int(pdf["capacity"].iloc[0])
-    bins = fill(pdf["n_tokens"].to_numpy(), pdf["n_loss"].to_numpy(), capacity, max(1, capacity // SEGMENT), capacity)
+    bins = fill(pdf["n_tokens"].to_numpy(), pdf["n_loss"].to_numpy(), capacity, max(1, capacity // SEGMENT), int(pdf["loss_limit"].iloc[0]))
     return pdf.assign(bin=(pdf["shard"].to_numpy().astype(np.int64) << 32) + bins)[["container", "bin", "doc_id", "piece", "from_token", "n_tokens", "n_loss"]]
 
 
-def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD) -> DataFrame:
+def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD, loss: float = 1.0) -> DataFrame:
     """(container, bin, doc_id, piece, from_token, n_tokens, n_loss): each piece of each text in each kind of container.
 
     ``capacities`` is a table of settings; it is read by the driver and its rows become literals.
+    ``loss`` is the share of a capacity that loss-bearing tokens may take, one token at least.
     """
+    if not 0 < loss <= 1:
+        raise ValueError(f"loss must be above 0 and at most 1: {loss}")
     kinds = sorted({(r[0], r[1], int(r[2])) for r in capacities.select("container", "tokenizer", "capacity").collect() if r[0] and r[1] and r[2] and r[2] > 0})
     schema = "container string, bin bigint, doc_id bigint, piece int, from_token bigint, n_tokens bigint, n_loss bigint"
     if not kinds:
@@ -108,14 +112,21 @@ def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD) -> D
     for tokenizer in sorted({k[1] for k in kinds}):
         sized = cut(documents.select("doc_id", _sizes(tokens.vocabulary_path(tokenizer))("text").alias("s")).select("doc_id", "s.*"), "sizes")
         n_docs = sized.count()
-        these = F.explode(F.array(*[F.struct(F.lit(c).alias("container"), F.lit(n).cast("bigint").alias("capacity")) for c, t, n in kinds if t == tokenizer]))
+        these = F.explode(F.array(*[F.struct(F.lit(c).alias("container"), F.lit(n).cast("bigint").alias("capacity"), F.lit(max(1, int(n * loss))).cast("bigint").alias("loss_limit")) for c, t, n in kinds if t == tokenizer]))
         both = sized.select("doc_id", "n_tokens", "n_loss", these.alias("c")).select("doc_id", "n_tokens", "n_loss", "c.*")
-        pieces = F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("n_tokens") / F.col("capacity")) - 1, F.lit(0)).cast("bigint")))
-        cuts = both.select("doc_id", "container", "capacity", F.col("n_tokens").alias("whole"), F.col("n_loss").alias("loss"), pieces.alias("piece", "at")).withColumn("from_token", F.col("at") * F.col("capacity"))
-        size = F.least(F.col("capacity"), F.col("whole") - F.col("from_token"))
-        silent = F.col("whole") - F.col("loss")  # the prompt's tokens come first
-        lossy = F.least(size, F.greatest(F.lit(0), F.col("from_token") + size - silent))
-        parts.append(cuts.select("container", "capacity", "doc_id", "piece", "from_token", size.alias("n_tokens"), lossy.alias("n_loss")).withColumn("n_docs", F.lit(n_docs)))
+        silent = F.col("n_tokens") - F.col("n_loss")  # the prompt's tokens come first
+        # full pieces of the prompt, one with its rest and the first loss-bearing tokens, then pieces of loss-bearing tokens only
+        both = both.withColumn("quiet", F.floor(silent / F.col("capacity"))).withColumn("rest", silent % F.col("capacity"))
+        both = both.withColumn("mixed", F.least(F.col("capacity") - F.col("rest"), F.col("loss_limit")))
+        more = F.ceil(F.greatest(F.col("n_loss") - F.col("mixed"), F.lit(0)) / F.col("loss_limit"))
+        n_pieces = F.col("quiet") + F.when(F.col("n_loss") > 0, more + 1).when(F.col("rest") > 0, 1).otherwise(0)
+        pieces = F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.greatest(n_pieces - 1, F.lit(0)).cast("bigint")))
+        cuts = both.select("doc_id", "container", "capacity", "loss_limit", F.col("n_tokens").alias("whole"), F.col("n_loss").alias("loss"), "quiet", F.expr("rest + mixed").alias("first"), pieces.alias("piece", "at"))
+        begin = lambda at: F.least(at, F.col("quiet")) * F.col("capacity") + F.when(at > F.col("quiet"), F.col("first") + (at - F.col("quiet") - 1) * F.col("loss_limit")).otherwise(0)
+        cuts = cuts.withColumn("from_token", begin(F.col("at")))
+        size = F.least(begin(F.col("at") + 1), F.col("whole")) - F.col("from_token")
+        lossy = F.least(size, F.greatest(F.lit(0), F.col("from_token") + size - (F.col("whole") - F.col("loss"))))
+        parts.append(cuts.select("container", "capacity", "loss_limit", "doc_id", "piece", "from_token", size.alias("n_tokens"), lossy.alias("n_loss")).withColumn("n_docs", F.lit(n_docs)))
     items = parts[0]
     for p in parts[1:]:
         items = items.unionByName(p)
@@ -128,9 +139,9 @@ def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD) -> D
     return open_items.groupBy("container", "shard").applyInPandas(_fill_group, schema).unionByName(full).unionByName(none)
 
 
-def fill_report(documents: DataFrame, capacities: DataFrame) -> DataFrame:
+def fill_report(documents: DataFrame, capacities: DataFrame, loss: float = 1.0) -> DataFrame:
     """Per kind of container: containers used, least possible number by tokens, pieces, tokens and the share of room used."""
-    p = packed(documents, capacities).where("bin IS NOT NULL")
+    p = packed(documents, capacities, loss=loss).where("bin IS NOT NULL")
     n = p.groupBy("container").agg(F.countDistinct("bin").alias("n_bins"), F.count("*").alias("n_pieces"), F.sum("n_tokens").alias("n_tokens"))
     c = capacities.where("capacity > 0").select("container", "capacity").distinct()
     both = n.join(c, "container")

@@ -71,3 +71,31 @@ def test_packing(spark, plain):
         assert len(size) <= 1.1 * -(-sum(want.values()) // cap) + 3
     assert {r.container for r in packing.fill_report(docs, caps).collect()} == {"s", "l"}
     assert packing.packed(docs.limit(0), caps).isEmpty() and packing.packed(docs, caps.limit(0)).isEmpty()
+
+
+def test_packing_loss_limit(spark, plain):
+    r = random.Random(3)
+    line = lambda n: " ".join(r.choice(["carl", "donut", "the", "dungeon"]) for _ in range(n))
+    texts = [line(r.randrange(1, 40)) + "\n" * (i % 4 > 0) + line(r.randrange(1, 60)) for i in range(300)]
+    texts += [line(900), line(700) + "\n" + line(500), line(256) + "\n" + line(1), line(120), line(400) + "\n", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    caps = spark.createDataFrame([("s", "byte_bpe_50k", 128)], "container string, tokenizer string, capacity int")
+    most = {}
+    for share, limit in ((1.0, 128), (0.75, 96)):
+        got = packing.packed(docs, caps, shard=100, loss=share).collect()
+        size, lossy, pieces = defaultdict(int), defaultdict(int), defaultdict(list)
+        for x in got:
+            pieces[x.doc_id].append(x)
+            if x.bin is not None:
+                size[x.bin] += x.n_tokens
+                lossy[x.bin] += x.n_loss
+        most[share] = max(lossy.values())
+        assert max(size.values()) <= 128 and most[share] <= limit
+        for i, t in enumerate(texts):
+            p = sorted(pieces[i], key=lambda x: x.piece)
+            n = len(plain.encode_ordinary(t or ""))
+            assert [x.from_token for x in p] == [sum(y.n_tokens for y in p[:k]) for k in range(len(p))] and sum(x.n_tokens for x in p) == n
+            assert [x.piece for x in p] == list(range(len(p))) and all(x.n_tokens > 0 for x in p[1:])
+            assert len(p) == 1 or n > 128 or sum(x.n_loss for x in p) > limit
+    assert most[1.0] > 96
+    assert packing.fill_report(docs, caps, loss=0.75).first().n_bins > packing.fill_report(docs, caps).first().n_bins
