@@ -194,7 +194,10 @@ def truncated(pages: DataFrame, entries: DataFrame) -> DataFrame:
     at = s.join(F.broadcast(limits), ["rec_table", "lang"])  # two columns by five languages
     cut_off = F.col("broken") | F.coalesce(F.col("odds") < F.col("limit"), F.col("signed"))
     found = cut(at.where(cut_off).select("rec_table", "rec_id", "host", "text"), "found")
-    return found.drop("text").distinct().join(residue.residue_of(found), ["rec_table", "rec_id"], "left_anti")
+    # a sentence's verdict doesn't depend on other records, so all texts of the records found give the cases of p1 among them
+    keys = found.select("rec_table", "rec_id").distinct()
+    theirs = residue.records(pages, entries).join(keys, ["rec_table", "rec_id"], "left_semi")
+    return found.drop("text").distinct().join(residue.residue_of(theirs), ["rec_table", "rec_id"], "left_anti")
 
 
 def truncated_found(pages: DataFrame, entries: DataFrame) -> DataFrame:

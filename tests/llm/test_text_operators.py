@@ -74,6 +74,17 @@ def test_truncation_counts_equal_texts_once(make):
     assert len(odds(1)) == 3 and odds(40) == odds(1)
 
 
+def test_truncation_leaves_out_all_cases_of_residue(make):
+    texts = [(1, "Carl sold the <b"), (1, "Please enable JavaScript to view this article"), (2, "Turn on Carl and run. Then <b"), (3, "Turn on Javascript and reload. Then <b"), (4, "Turn on Zev and reload. Then <b"), (5, "Turn on Cookies and reload."), (6, "Turn on Donut and run."), (7, "Loading Carl… If nothing happens, scripting may be disabled. <i"), (8, "The stair is open. <b")]
+    pages = make("pages", [{"pageid": i, "title": "x", "url": "https://h.example/x", "first_paragraph": t} for i, t in texts])
+    none = make("entries", [])
+    cases = {r[1] for r in rows(residue.residue_found(pages, none))}
+    assert cases == {1, 3, 5, 7}
+    assert {r[1] for r in rows(truncation.truncated_found(pages, none))} == {1, 2, 3, 4, 7, 8} - cases
+    alone = [residue.residue_of(residue.records(pages.where(f"pageid = {i}"), none)) for i in (2, 3, 4)]
+    assert [d.count() for d in alone] == [0, 1, 0]  # the same verdicts without the other records
+
+
 def _page(i, host, wrap, promo="Support us with a small gift.", flat=False):
     names = ["Carl", "Donut", "Mordecai", "Katia", "Prepotente", "Odette", "Zev"]
     a, b = names[i % 7], names[(i * 3 + 1) % 7]
