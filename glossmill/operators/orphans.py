@@ -43,7 +43,7 @@ def pointer_target(definition: Column) -> Column:
     found = F.coalesce(*[F.nullif(F.regexp_extract(plain, rf"(?iu)^{p}$", 1), F.lit("")) for p in POINTERS])
     found = F.regexp_replace(F.regexp_replace(found, r"^\[\[|\]\]\s*\.?$", ""), r"\s*\.\s*$", "")
     one = ~found.rlike(r"[.!?]\s+\S") | found.rlike(r"^(?:\S+ )?(?:Mr|Mrs|Ms|Dr|St)\. \S+( \S+)?$")
-    return F.when(definition.rlike(rf"^(?:\s|</?[A-Za-z][^<>]*>)*(?:{BEGINS.replace('^', '', 1)})") & one, F.nullif(found, F.lit("")))
+    return F.when(plain.rlike(BEGINS) & one, F.nullif(found, F.lit("")))
 
 
 def references(redirects: DataFrame, entries: DataFrame) -> DataFrame:

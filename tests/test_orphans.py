@@ -70,3 +70,9 @@ def test_pointers(spark):
     }
     df = spark.createDataFrame([(k,) for k in cases], "d string")
     assert {r.d: r.t for r in df.select("d", pointer_target(F.col("d")).alias("t")).collect()} == cases
+
+
+def test_pointers_begin_in_squeezed_text(spark):
+    cases = {"<b>For</b> the gate, see X": "X", "This\nentry has been moved to X": "X", "\u00a0See: X": "X", "This <i>page</i> was merged into X": "X", "Please\u2003see X": "X", "<b>S</b>ee: X": "X", "Foreign\nseas, see X": None}
+    df = spark.createDataFrame([(k,) for k in cases], "d string")
+    assert {r.d: r.t for r in df.select("d", pointer_target(F.col("d")).alias("t")).collect()} == cases
