@@ -30,8 +30,11 @@ def mentions(entries: DataFrame, longest: int = 15) -> DataFrame:
     words = entries.select("pos", "title", pieces(F.col("plain")).alias("p"))
     if not sizes:
         return entries.select("pos", F.col("title").alias("target"), F.lit(0).alias("at")).where(F.lit(False))
-    # titles begin with a capital or a digit: only such pieces are begins
-    begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size("p") - 1, F.lit(0))), lambda i: F.get("p", i).rlike(r"^[\p{Lu}\p{N}]"))
+    # only pieces that some title begins with are begins; the texts' own arrays stay out of the semi-join
+    firsts = titles.select(F.get(pieces(F.col("target")), F.lit(0)).alias("piece")).distinct()
+    mine = words.select(F.col("pos").alias("_pos"), F.explode(F.array_distinct("p")).alias("piece")).join(firsts, "piece", "left_semi").groupBy("_pos").agg(F.collect_set("piece").alias("firsts"))
+    words = words.join(mine, F.col("pos").eqNullSafe(F.col("_pos")))
+    begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size("p") - 1, F.lit(0))), lambda i: F.array_contains("firsts", F.get("p", i)))
     words = words.select("pos", "title", "p", F.explode(begins).alias("at"))
     guarded = F.array(*[F.struct(F.lit(n).alias("n"), F.array_join(F.slice("p", F.col("at") + 1, n), "").alias("target")) for n in sizes])
     each = words.select("pos", "title", "at", F.explode(guarded).alias("g")).select("pos", "title", "at", "g.n", "g.target").where(F.length("target") > 0)

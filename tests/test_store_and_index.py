@@ -61,3 +61,9 @@ def test_mentions(make):
 def test_forms(spark):
     df = spark.createDataFrame([("See: A.",), ("please see B..",), ("no",), (None,)], "t string")
     assert [r[0] for r in df.select(X.forward_target(F.col("t"))).collect()] == ["A", "B", None, None]
+
+
+def test_mentions_of_titles_of_any_begin(make):
+    titles = ["the Pit", "“Old Lamp”", "地下城之門", "Carl", "1000 Delvers"]
+    e = make("pos bigint, title string, plain string", [{"pos": i, "title": t, "plain": "x"} for i, t in enumerate(titles)] + [{"pos": 9, "title": "Z", "plain": "In the Pit Carl sold “Old Lamp” to 1000 Delvers of 地下城之門, not The Pit."}])
+    assert sorted(r.target for r in links.mentions(e).collect()) == sorted(titles)
