@@ -67,3 +67,14 @@ def test_mentions_of_titles_of_any_begin(make):
     titles = ["the Pit", "“Old Lamp”", "地下城之門", "Carl", "1000 Delvers"]
     e = make("pos bigint, title string, plain string", [{"pos": i, "title": t, "plain": "x"} for i, t in enumerate(titles)] + [{"pos": 9, "title": "Z", "plain": "In the Pit Carl sold “Old Lamp” to 1000 Delvers of 地下城之門, not The Pit."}])
     assert sorted(r.target for r in links.mentions(e).collect()) == sorted(titles)
+
+
+def test_page_latest_stores_all_pages(make, monkeypatch, tmp_path):
+    from glossmill import queries
+    from glossmill.operators import store
+
+    make("pages", [{"pageid": i, "title": f"T{i}", "fetched_at": None} for i in (1, 2, 3)]).write.parquet(str(tmp_path / "pages.parquet"))
+    sides = []
+    upsert = store.upsert
+    monkeypatch.setattr(store, "upsert", lambda a, b: sides.append((a.count(), b.count())) or upsert(a, b))
+    assert queries.page_latest(make("pages", []).sparkSession, str(tmp_path)).count() == 3 and sides == [(3, 3)]
