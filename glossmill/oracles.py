@@ -232,12 +232,15 @@ SQL |= {
     "definitions": f"WITH {_E} SELECT pos, {_HTML} AS html FROM e",
     "combined": f"WITH {_LOOKUPS}, h AS (SELECT title, {_HTML} AS html FROM e) SELECT word, '<div class=\"multi-lookup\">' || string_agg(html, '' ORDER BY ord) || '</div>' AS definition FROM shared JOIN h ON h.title = shared.target GROUP BY word",
     "index_synonyms": f"WITH {_LOOKUPS}, x AS (SELECT title, row_number() OVER (ORDER BY {_AL.format('title')}, title) - 1 AS ordinal FROM (SELECT DISTINCT title FROM e)) SELECT alias AS word, ordinal FROM accepted JOIN x ON x.title = accepted.target WHERE alias <> accepted.target",
-    "title_mentions": rf"""WITH {_PLAIN}, t AS (SELECT DISTINCT title AS target, len({_PIECES.format("title")}) AS n FROM e WHERE length(title) >= 4 OR regexp_matches(title, '[ \-'']')),
- w AS (SELECT pos, title, {_PIECES.format("plain")} AS v FROM p), b AS (SELECT pos, title, v, unnest(range(len(v))) AS spot FROM w),
- g AS (SELECT pos, title, spot, n, array_to_string(v[spot + 1:spot + n], '') AS target FROM b, (SELECT DISTINCT n FROM t) WHERE regexp_matches(v[spot + 1], '^[\p{{Lu}}\p{{N}}]') AND spot + n <= len(v)),
- hit AS (SELECT g.* FROM g JOIN (SELECT DISTINCT target FROM t) USING (target) WHERE target <> title),
- free AS (SELECT *, max(spot + n) OVER (PARTITION BY pos ORDER BY spot, n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered FROM hit)
-SELECT pos, target, min(spot)::INT AS at FROM free WHERE covered IS NULL OR spot >= covered GROUP BY pos, target""",
+# places of every title in every text, then the leftmost longest after the last taken one, own titles among them
+    "title_mentions": rf"""WITH RECURSIVE {_PLAIN}, t AS (SELECT DISTINCT title AS target FROM e WHERE length(title) >= 4 OR regexp_matches(title, '[ \-'']')),
+ c AS (SELECT pos, title, plain, target, unnest(range(1, length(plain) - length(target) + 2)) AS spot FROM p JOIN t ON contains(plain, target)),
+ hit AS (SELECT pos, spot, max(length(target)) AS n FROM c WHERE substr(plain, spot, length(target)) = target
+  AND NOT regexp_matches(substr(plain, spot - 1, CASE WHEN spot > 1 THEN 1 ELSE 0 END), '[\p{{L}}\p{{N}}_]') AND NOT regexp_matches(substr(plain, spot + length(target), 1), '[\p{{L}}\p{{N}}_]') GROUP BY pos, spot),
+ step AS (SELECT a.pos, a.spot, a.n, min(b.spot) AS follows FROM hit a LEFT JOIN hit b ON b.pos = a.pos AND b.spot >= a.spot + a.n GROUP BY a.pos, a.spot, a.n),
+ taken AS (SELECT pos, min(spot) AS spot FROM hit GROUP BY pos UNION ALL SELECT s.pos, s.follows FROM taken k JOIN step s USING (pos, spot) WHERE s.follows IS NOT NULL)
+SELECT pos, substr(plain, k.spot, n) AS target, min(len({_PIECES.format("substr(plain, 1, k.spot - 1)")}))::INT AS at
+ FROM taken k JOIN hit USING (pos, spot) JOIN p USING (pos) WHERE substr(plain, k.spot, n) <> title GROUP BY ALL""",
 }
 
 SQL["term_status"] = f"""WITH {_LOOKUPS}, terms AS (SELECT unnest(['Carl', 'Golem', '1000 Minor Delvers', 'Babex', 'Ring of Zeme Libram', 'Bagrorn-Drebol']) AS term),

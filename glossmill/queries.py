@@ -282,8 +282,7 @@ def title_mentions(s: SparkSession, d: str) -> DataFrame:
 
 
 def linked_definitions(s: SparkSession, d: str) -> DataFrame:
-    e = _entries(s, d)
-    return links.linked(e.withColumn("definition", markup.sanitized("definition")), links.mentions(e))
+    return links.linked(_entries(s, d).withColumn("definition", markup.sanitized("definition")))
 
 
 def tag_inventory(s: SparkSession, d: str) -> DataFrame:

@@ -153,9 +153,14 @@ def test_shards_and_release(spark, words, tmp_path):
 def test_links(make):
     from glossmill.operators import links
 
-    e = make("pos bigint, definition string", [{"pos": 1, "definition": "Carl met <b>Donut</b> &amp; Donut, not Donuts."}, {"pos": 2, "definition": None}])
-    found = make("pos bigint, target string", [{"pos": 1, "target": "Donut"}])
-    assert rows(links.linked(e, found)) == [(1, 'Carl met <b><a href="bword://Donut">Donut</a></b> &amp; Donut, not Donuts.'), (2, None)]
+    e = make("pos bigint, title string, definition string", [
+        {"pos": 1, "title": "Moss", "definition": "Moss met <b>Tiller</b> &amp; Tiller, not Tillers."}, {"pos": 2, "title": "Tiller", "definition": None},
+        {"pos": 3, "title": "Lamp of Moss", "definition": "Lamp of Moss <i>of</i> Moss &lt;Tiller&gt;"}, {"pos": 4, "title": "x", "definition": ""},
+    ])
+    assert rows(links.linked(e)) == [
+        (1, 'Moss met <b><a href="bword://Tiller">Tiller</a></b> &amp; Tiller, not Tillers.'), (2, None),
+        (3, 'Lamp of Moss <i>of</i> <a href="bword://Moss">Moss</a> &lt;<a href="bword://Tiller">Tiller</a>&gt;'), (4, ""),
+    ]
 
 
 def test_command(spark, make, tmp_path, monkeypatch):

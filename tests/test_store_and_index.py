@@ -69,6 +69,27 @@ def test_mentions_of_titles_of_any_begin(make):
     assert sorted(r.target for r in links.mentions(e).collect()) == sorted(titles)
 
 
+def _by_rule(texts, titles):
+    """Mentions by one pattern of all titles, the longest first, over each text."""
+    import re
+
+    wanted = sorted({t for t in titles if t and (len(t) >= 4 or re.search("[ '-]", t))}, key=len, reverse=True)
+    by, out = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, wanted)) + r")(?!\w)"), set()
+    for pos, title, text in texts:
+        out |= {(pos, m[0]) for m in by.finditer(text or "") if m[0] != title}
+    return sorted(out)
+
+
+def test_mentions_by_the_rule(make):
+    titles = ["Alpha Beta", "Beta Gamma Delta", "Delta Epsilon", "Ring of Power", "Power", "eBook Reader Guild", "Reader", "'Tis House", "Who?", "of", "C-3", "Reader Guild", "Épée", "a b"]
+    texts = ["Alpha Beta Gamma Delta Epsilon", "Ring of Power is worn. Power!", "An eBook Reader Guild, a Reader.", "It's 'Tis House; x'Tis House.", "Who?x Who? of C-3 C-30", "Ring of Power", "Épée Épées Reader Guild a b a b", "", None]
+    e = [{"pos": i, "title": t, "plain": texts[i] if i < len(texts) else f"{titles[i - 3]} {titles[i - 1]}x {t}"} for i, t in enumerate(titles)]
+    e.append({"pos": 50, "title": "Ring of Power", "plain": texts[1]})
+    got = rows(links.mentions(make("pos bigint, title string, plain string", e)), "pos", "target")
+    assert sorted(got) == _by_rule([(x["pos"], x["title"], x["plain"]) for x in e], titles)
+    assert (0, "Delta Epsilon") in got and (50, "Power") in got and (2, "eBook Reader Guild") in got
+
+
 def test_page_latest_stores_all_pages(make, monkeypatch, tmp_path):
     from glossmill import queries
     from glossmill.operators import store
