@@ -31,6 +31,7 @@ def without_artifacts(text: Column) -> Column:
     """Small source artifacts mended, in this order: markers, ``isa``, ``a god of .``, blanks before stops, a pointer
     to more information and an art credit at the end, white space."""
     t = without_markers(text)
+    # The artifacts' wordings.
     t = F.regexp_replace(t, r"(?U)\bisa\b", "is a")
     t = F.regexp_replace(t, r"(?iU)\ba god of\s*\.", "a god.")
     t = F.regexp_replace(t, r"(?U)\s+([,.;:!?])", "$1")
@@ -69,10 +70,11 @@ def slug(text: Column) -> Column:
 
 def trails_off(text: Column) -> Column:
     """Whether a text ends with a connective."""
+    # The connectives.
     return text.rlike(r"(?iU)\b(?:and|or|but|because|with|of|to)\s*$")
 
 
-#: Forms of a definition that only sends the reader on, as the dictionary's build follows them.
+# Forms of a definition that only sends the reader on, as the dictionary's build follows them.
 FORWARDS = (r"See:\s+(.+)", r"duplicate page\s*-\s*please see\s+(.+)", r"(?:System Message:\s*)?For .+?,\s*please see\s+(.+)", r"please see\s+(.+)")
 
 
@@ -107,7 +109,7 @@ def page_url(base: Column, title: Column) -> Column:
     return F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/wiki/"), t)
 
 
-#: A release number: no leading zeros, numeric parts of a pre-release without them either.
+# Fixed value, the pattern of a release number: no leading zeros, numeric parts of a pre-release without them either.
 VERSION = r"^v?(0|[1-9]\d*)\.(0|[1-9]\d*)\.(0|[1-9]\d*)(?:-((?:0|[1-9]\d*|\d*[a-zA-Z-][0-9a-zA-Z-]*)(?:\.(?:0|[1-9]\d*|\d*[a-zA-Z-][0-9a-zA-Z-]*))*))?$"
 
 

@@ -201,7 +201,7 @@ def component_candidates(entries: DataFrame, raw: DataFrame, rules: LookupRules)
         base = F.coalesce(X.without_parenthetical(base), base)
     cut = base
     for p in reversed(rules.prefixes):
-        cut = F.when(F.lower(base).startswith(p.lower()), F.trim(F.substring(base, len(p) + 1, 1_000_000))).otherwise(cut)
+        cut = F.when(F.lower(base).startswith(p.lower()), F.trim(F.substring(base, F.lit(len(p) + 1), F.length(base)))).otherwise(cut)
     bare = cut
     for s in reversed(rules.suffixes):
         bare = F.when(F.lower(cut).endswith(s.lower()), F.trim(F.substring(cut, F.lit(1), F.length(cut) - len(s)))).otherwise(bare)

@@ -24,7 +24,7 @@ def _bare(fragment: Column) -> Column:
 def lower_first(fragment: Column) -> Column:
     """First visible ASCII capital in lower case."""
     head, letter = F.regexp_extract(fragment, r"^((?:<[^>]+>|\s)*)([A-Z])", 1), F.regexp_extract(fragment, r"^((?:<[^>]+>|\s)*)([A-Z])", 2)
-    return F.when(letter != "", F.concat(head, F.lower(letter), F.substring(fragment, F.length(head) + 2, F.lit(1_000_000)))).otherwise(fragment)
+    return F.when(letter != "", F.concat(head, F.lower(letter), F.substring(fragment, F.length(head) + 2, F.length(fragment)))).otherwise(fragment)
 
 
 def summaries(pages: DataFrame, most: int | None = None) -> DataFrame:
