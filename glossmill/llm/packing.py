@@ -1,26 +1,34 @@
 """Filling fixed-capacity containers with items.
 
 Vector bin packing: an item is a text or, where a text alone exceeds the capacity, its pieces; its demands are
-tokens, one segment, and loss-bearing tokens. Containers are filled one at a time: of the items that still fit
-under all three limits the one with the largest dot product of its demands with the room that is left goes in
-next, each dimension weighted by the share of it that all items demand. Items are spread by a hash over shards
-of a set size, which are packed apart from each other; that leaves one container a shard that may be far from
-full. Inside a shard equal items are one class, so that each step is one product over the classes.
-
-Loss-bearing tokens: a text's first line is its prompt, all after it bears loss; a text of one line bears loss
-as a whole. Their limit is a share of the capacity; at 1, as in the queries, the limit on tokens always binds first,
-since no table sets one and a lower limit would split texts that fit the capacity.
-
-Defined cases: null and empty texts have no tokens and get no container (bin null, piece 0); capacities that are
-null or not positive are no containers; a repeated capacity counts once; a text of any length is cut in order into
-pieces as large as the limits on tokens and loss-bearing tokens allow and a rest; equal items are interchangeable, the smaller doc_id goes first.
+tokens, one segment, and loss-bearing tokens, each under a limit of its own. Containers are filled side by side: of
+the items that still fit under all three limits a container gets the one with the largest dot product of its demands
+with the room that is left, each dimension weighted by the share of it that all items demand. Where several want the
+last item of a kind, the one that gains most gets it and the others choose again.
+
+Limits (parameters of ``packed``): tokens by the capacity; segments by one for ``segment`` tokens of capacity, FEWEST
+at least; loss-bearing tokens by a share ``loss`` of the capacity. A text that fits the capacity is never split, so one
+that alone bears more loss than the limit takes all of that room: nothing that bears loss joins it.
+
+Loss-bearing tokens are those of slices that begin after the prompt, and the prompt is what the pattern ``prompt``
+matches at a text's begin. No table says what a prompt is; by default it is the first line of several.
+
+Items are spread by a hash over shards of about SHARD pieces, counted for each kind of container, and shards are packed
+apart from each other; that leaves one container a shard that may be far from full. Inside a shard equal items are one
+class, so that a step is one product of the containers' rooms with the classes.
+
+Defined cases: null and empty texts have no tokens and get no container (shard and bin null, piece 0); capacities that
+are null or not positive are no containers; a repeated capacity counts once; a text of any length is cut in order into
+pieces of the capacity and a rest; equal items are interchangeable, the smaller doc_id goes first; a null doc_id is an
+item like any other.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,120 +37,187 @@ from pyspark.sql import types as T
 from ..plans.lineage import cut
 from . import tokens
 
-SHARD = 20_000  # items of a shard, about
-SEGMENT = 8  # tokens of capacity that allow one more segment
+SHARD = 10_000  # pieces of a shard, about
+TASKS = 20_000  # partitions that shards are dealt to at most; beyond that a task packs several, one after the other
+SEGMENT = 48  # tokens of capacity that allow one more segment
+FEWEST = 4  # segments that any container may have
+LOSS = 0.9375  # share of the capacity that loss-bearing tokens may take
+PROMPT = r"[^\n]*\n(?=\s*\S)"
+BATCH = 64  # containers that are filled side by side
 
 
-def _sizes(path: str):
+def _sizes(path: str, prompt: str):
     kind = pa.struct([("n_tokens", pa.int64()), ("n_loss", pa.int64())])
+    opening = re.compile(prompt)
 
     def run(texts: pa.Array) -> pa.Array:
         out = []
         for part in tokens._stretches([x or "" for x in texts.to_pylist()]):
-            heads = [t.partition("\n") for t in part]
-            whole = [sum(map(len, p)) for p in tokens.encoder(path).encode(part)]
-            first = [sum(map(len, p)) for p in tokens.encoder(path).encode([h if rest.strip() else "" for h, _, rest in heads])]
-            out.extend({"n_tokens": n, "n_loss": max(0, n - f)} for n, f in zip(whole, first))
-        return pa.array(out, kind)
+            encoder = tokens.encoder(path)
+            joined, starts, first = tokens.slices(part)
+            places = starts.tolist()
+            sizes = np.fromiter((len(encoder.ids_of(joined[a:b])) for a, b in zip(places, [*places[1:], len(joined)])), np.int64, len(places))
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            lengths = np.fromiter(map(len, part), np.int64, len(part))
+            heads = np.fromiter((m.end() if (m := opening.match(t)) else 0 for t in part), np.int64, len(part))
+            begin = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+            lossy = np.clip(np.searchsorted(starts, begin + heads), first[:-1], first[1:])
+            out.append(np.stack([upto[first[1:]] - upto[first[:-1]], upto[first[1:]] - upto[lossy]], 1))
+        both = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], fields=list(kind))
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_loss", T.LongType())]))
 
 
+def _first_of(wanted: np.ndarray, gain: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Which of the containers get the class they want: as many as it has items left, those that gain most."""
+    order = np.lexsort((-gain, wanted))
+    sorted_ = wanted[order]
+    turn = np.arange(len(order)) - np.searchsorted(sorted_, sorted_)
+    return order[turn < left[sorted_]]
+
+
 def fill(n_tokens: np.ndarray, n_loss: np.ndarray, capacity: int, segments: int, loss: int) -> np.ndarray:
-    """Number of the container of each item; no item exceeds a limit by itself."""
+    """Number of the container of each item; no item has more tokens than the capacity."""
     items = np.stack([n_tokens, n_loss], 1)
-    classes, of = np.unique(items, axis=0, return_inverse=True)
+    classes, of = np.unique(items, axis=0, return_inverse=True)  # in order of tokens
     of = of.reshape(-1)
     order = np.argsort(of, kind="stable")
-    starts = np.searchsorted(of[order], np.arange(len(classes) + 1))
-    left = np.diff(starts)
-    used = starts[:-1].copy()
-    limits = np.array([capacity, segments, loss], float)
-    demand = np.column_stack([classes[:, 0], np.ones(len(classes)), classes[:, 1]]) / limits
+    begins = np.searchsorted(of[order], np.arange(len(classes) + 1))
+    left, used = np.diff(begins), begins[:-1].copy()
+    demand = np.column_stack([classes[:, 0] / capacity, np.full(len(classes), 1 / segments), np.minimum(classes[:, 1] / loss, 1.0)])
     weights = (demand * left[:, None]).sum(0)
-    weights = weights / (weights.sum() or 1)
-    weighted = demand * weights
+    weighted = demand * (weights / (weights.sum() or 1))
     out = np.empty(len(items), np.int64)
-    alive = np.flatnonzero(left)
-    number = 0
+    number, todo = 0, int(items[:, 0].sum())
+    alive = np.arange(len(classes))
     while len(alive):
-        room = np.ones(3)
-        d, w = demand[alive], weighted[alive]
-        open_ = np.ones(len(alive), bool)
-        while True:
-            open_ &= (d <= room + 1e-12).all(1)
-            if not open_.any():
-                break
-            score = np.where(open_, w @ room, -1.0)
-            k = int(score.argmax())
-            c = alive[k]
-            # as many equal items as go in before another could be better is at least one
-            out[order[used[c]]] = number
-            used[c] += 1
-            left[c] -= 1
-            room = room - d[k]
-            if not left[c]:
-                open_[k] = False
-        number += 1
-        alive = alive[left[alive] > 0]
+        # no more at once than half of what the rest needs, so that the last ones are filled one at a time
+        n = max(1, min(BATCH, todo // capacity // 2))
+        room = np.ones((n, 3))
+        open_ = np.arange(n)
+        opening = np.argsort(-weighted[alive].sum(1), kind="stable")
+        counts = np.minimum(left[alive[opening]], n)
+        first = np.repeat(alive[opening], counts)[:n]  # the best classes open a container each
+        while len(open_):
+            if first is not None:
+                open_, wanted, gets = open_[: len(first)], first, np.arange(len(first))
+                first = None
+            else:
+                rooms = room[open_]
+                few = alive[: np.searchsorted(demand[alive, 0], rooms[:, 0].max() + 1e-12, "right")]
+                fits = (demand[few, 0] <= rooms[:, :1] + 1e-12) & (demand[few, 2] <= rooms[:, 2:] + 1e-12) & (rooms[:, 1:2] >= 1 / segments - 1e-12)
+                score = np.where(fits, rooms @ weighted[few].T, -1.0) if len(few) else np.full((len(open_), 1), -1.0)
+                best = score.argmax(1)
+                gain = score[np.arange(len(open_)), best]
+                on = gain >= 0
+                open_ = open_[on]
+                if not len(open_):
+                    break
+                wanted = few[best[on]]
+                gets = _first_of(wanted, gain[on], left)
+            to, kinds = open_[gets], wanted[gets]
+            rank = np.argsort(kinds, kind="stable")
+            turn = np.empty(len(kinds), np.int64)
+            turn[rank] = np.arange(len(kinds)) - np.searchsorted(kinds[rank], kinds[rank])
+            out[order[used[kinds] + turn]] = number + to
+            np.add.at(used, kinds, 1)
+            np.subtract.at(left, kinds, 1)
+            room[to] -= demand[kinds]
+            todo -= int(classes[kinds, 0].sum())
+            if not left[kinds].all():
+                alive = alive[left[alive] > 0]
+        number += n
     return out
 
 
-def _fill_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")
-    capacity = int(pdf["capacity"].iloc[0])
-    bins = fill(pdf["n_tokens"].to_numpy(), pdf["n_loss"].to_numpy(), capacity, max(1, capacity // SEGMENT), int(pdf["loss_limit"].iloc[0]))
-    return pdf.assign(bin=(pdf["shard"].to_numpy().astype(np.int64) << 32) + bins)[["container", "bin", "doc_id", "piece", "from_token", "n_tokens", "n_loss"]]
+_PACKED = "container string, shard bigint, bin bigint, doc_id bigint, piece int, from_token bigint, n_tokens bigint, n_loss bigint"
+_SIZED = ("container", "shard", "doc_id", "piece", "from_token", "n_tokens", "n_loss")
+_LIMITS = ("capacity", "segments", "loss_limit")
+
+
+def _fill_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of their shard; a shard of set size is packed as soon as it is complete."""
+
+    def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        limits = [int(t[c][0].as_py()) for c in _LIMITS]
+        bins = fill(t["n_tokens"].to_numpy(), t["n_loss"].to_numpy(), *limits)
+        columns = {c: t[c] for c in _SIZED} | {"bin": pa.chunked_array([pa.array(bins)])}
+        names = [x.split()[0] for x in _PACKED.split(", ")]
+        return pa.table([columns[c] for c in names], names=names).combine_chunks().to_batches()[0]
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch["key"].to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if waiting and waiting[0]["key"][0].as_py() != keys[a]:
+                yield done(waiting)
+                waiting = []
+            waiting.append(batch.slice(a, b - a))
+    if waiting:
+        yield done(waiting)
+
+
+def _limits(capacity: int, segment: int, loss: float) -> tuple[int, int, int]:
+    return capacity, max(FEWEST, capacity // segment), max(1, int(capacity * loss))
 
 
-def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD, loss: float = 1.0) -> DataFrame:
-    """(container, bin, doc_id, piece, from_token, n_tokens, n_loss): each piece of each text in each kind of container.
+def packed(documents: DataFrame, capacities: DataFrame, shard: int = SHARD, segment: int = SEGMENT, loss: float = LOSS, prompt: str = PROMPT) -> DataFrame:
+    """(container, shard, bin, doc_id, piece, from_token, n_tokens, n_loss): each piece of each text in each kind of container.
 
-    ``capacities`` is a table of settings; it is read by the driver and its rows become literals.
-    ``loss`` is the share of a capacity that loss-bearing tokens may take, one token at least.
+    A container is one (container, shard, bin). A piece as large as the capacity fills one by itself: its shard is
+    below zero and stands for the piece's number, its bin is the document. ``capacities`` is a table of settings; it is
+    read by the driver and its rows become literals.
     """
     if not 0 < loss <= 1:
         raise ValueError(f"loss must be above 0 and at most 1: {loss}")
     kinds = sorted({(r[0], r[1], int(r[2])) for r in capacities.select("container", "tokenizer", "capacity").collect() if r[0] and r[1] and r[2] and r[2] > 0})
-    schema = "container string, bin bigint, doc_id bigint, piece int, from_token bigint, n_tokens bigint, n_loss bigint"
     if not kinds:
-        return documents.sparkSession.createDataFrame([], schema)
-    parts = []
+        return documents.sparkSession.createDataFrame([], _PACKED)
+    parts, at = [], 0
     for tokenizer in sorted({k[1] for k in kinds}):
-        sized = cut(documents.select("doc_id", _sizes(tokens.vocabulary_path(tokenizer))("text").alias("s")).select("doc_id", "s.*"), "sizes")
-        n_docs = sized.count()
-        these = F.explode(F.array(*[F.struct(F.lit(c).alias("container"), F.lit(n).cast("bigint").alias("capacity"), F.lit(max(1, int(n * loss))).cast("bigint").alias("loss_limit")) for c, t, n in kinds if t == tokenizer]))
-        both = sized.select("doc_id", "n_tokens", "n_loss", these.alias("c")).select("doc_id", "n_tokens", "n_loss", "c.*")
-        silent = F.col("n_tokens") - F.col("n_loss")  # the prompt's tokens come first
-        # full pieces of the prompt, one with its rest and the first loss-bearing tokens, then pieces of loss-bearing tokens only
-        both = both.withColumn("quiet", F.floor(silent / F.col("capacity"))).withColumn("rest", silent % F.col("capacity"))
-        both = both.withColumn("mixed", F.least(F.col("capacity") - F.col("rest"), F.col("loss_limit")))
-        more = F.ceil(F.greatest(F.col("n_loss") - F.col("mixed"), F.lit(0)) / F.col("loss_limit"))
-        n_pieces = F.col("quiet") + F.when(F.col("n_loss") > 0, more + 1).when(F.col("rest") > 0, 1).otherwise(0)
-        pieces = F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.greatest(n_pieces - 1, F.lit(0)).cast("bigint")))
-        cuts = both.select("doc_id", "container", "capacity", "loss_limit", F.col("n_tokens").alias("whole"), F.col("n_loss").alias("loss"), "quiet", F.expr("rest + mixed").alias("first"), pieces.alias("piece", "at"))
-        begin = lambda at: F.least(at, F.col("quiet")) * F.col("capacity") + F.when(at > F.col("quiet"), F.col("first") + (at - F.col("quiet") - 1) * F.col("loss_limit")).otherwise(0)
-        cuts = cuts.withColumn("from_token", begin(F.col("at")))
-        size = F.least(begin(F.col("at") + 1), F.col("whole")) - F.col("from_token")
-        lossy = F.least(size, F.greatest(F.lit(0), F.col("from_token") + size - (F.col("whole") - F.col("loss"))))
-        parts.append(cuts.select("container", "capacity", "loss_limit", "doc_id", "piece", "from_token", size.alias("n_tokens"), lossy.alias("n_loss")).withColumn("n_docs", F.lit(n_docs)))
+        sized = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), _sizes(tokens.vocabulary_path(tokenizer), prompt)("text").alias("s"))
+        sized = cut(sized.select("doc_id", "row", "s.*"), "sizes")
+        mine = [(c, n) for c, t, n in kinds if t == tokenizer]
+        rests = sized.agg(*[F.count_if(F.col("n_tokens") % n > 0) for _, n in mine]).first()
+        settings = []
+        for (c, n), rest in zip(mine, rests):
+            shards = max(1, -(-rest // shard))
+            settings.append(F.struct(F.lit(c).alias("container"), *[F.lit(x).cast("bigint").alias(k) for k, x in zip(_LIMITS, _limits(n, segment, loss))], F.lit(at).cast("bigint").alias("first"), F.lit(shards).cast("bigint").alias("shards")))
+            at += shards
+        both = sized.select("*", F.explode(F.array(*settings)).alias("c")).select("doc_id", "row", F.col("n_tokens").alias("whole"), F.col("n_loss").alias("lossy"), "c.*")
+        n_pieces = F.greatest(F.ceil(F.col("whole") / F.col("capacity")), F.lit(1))
+        cuts = both.select("*", F.posexplode(F.sequence(F.lit(0).cast("bigint"), (n_pieces - 1).cast("bigint"))).alias("piece", "k")).withColumn("from_token", F.col("k") * F.col("capacity"))
+        size = F.least(F.col("capacity"), F.col("whole") - F.col("from_token"))
+        quiet = F.greatest(F.lit(0), F.col("whole") - F.col("lossy") - F.col("from_token"))  # of the prompt, which comes first
+        parts.append(cuts.withColumn("n_tokens", size).withColumn("n_loss", F.greatest(F.lit(0), size - quiet)))
     items = parts[0]
     for p in parts[1:]:
         items = items.unionByName(p)
-    shards = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / shard)).cast("bigint")
-    items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), shards))
-    open_items = items.where("n_tokens > 0 AND n_tokens < capacity").drop("n_docs")
-    # a piece as large as the container fills one by itself: its number is made of its own identity, below zero
-    full = items.where("n_tokens = capacity").select("container", (-(F.shiftleft("doc_id", 20) + F.col("piece")) - 1).alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
-    none = items.where("n_tokens = 0").select("container", F.lit(None).cast("bigint").alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
-    return open_items.groupBy("container", "shard").applyInPandas(_fill_group, schema).unionByName(full).unionByName(none)
-
-
-def fill_report(documents: DataFrame, capacities: DataFrame, loss: float = 1.0) -> DataFrame:
-    """Per kind of container: containers used, least possible number by tokens, pieces, tokens and the share of room used."""
-    p = packed(documents, capacities, loss=loss).where("bin IS NOT NULL")
-    n = p.groupBy("container").agg(F.countDistinct("bin").alias("n_bins"), F.count("*").alias("n_pieces"), F.sum("n_tokens").alias("n_tokens"))
-    c = capacities.where("capacity > 0").select("container", "capacity").distinct()
-    both = n.join(c, "container")
-    return both.select("container", "capacity", "n_bins", F.ceil(F.col("n_tokens") / F.col("capacity")).alias("least_bins"), "n_pieces", "n_tokens", F.round(F.col("n_tokens") / (F.col("n_bins") * F.col("capacity")), 6).alias("filled"))
+    small = items.where("n_tokens > 0 AND n_tokens < capacity").withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.col("shards")))
+    small = small.withColumn("key", F.col("first") + F.col("shard")).select("key", *_SIZED, *_LIMITS)
+    tasks = min(at, TASKS)
+    dealt = small.repartitionById(tasks, F.pmod("key", F.lit(tasks)).cast("int")).sortWithinPartitions("key", "doc_id", "piece")
+    known = F.col("doc_id").isNotNull()
+    own = F.when(known, -1 - F.col("piece")).otherwise(F.lit(-(1 << 62)) - F.col("piece"))
+    full = items.where("n_tokens = capacity").select("container", own.cast("bigint").alias("shard"), F.coalesce("doc_id", "row").alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
+    none = items.where("n_tokens = 0").select("container", F.lit(None).cast("bigint").alias("shard"), F.lit(None).cast("bigint").alias("bin"), "doc_id", "piece", "from_token", "n_tokens", "n_loss")
+    return dealt.mapInArrow(_fill_shards, _PACKED).unionByName(full).unionByName(none)
+
+
+def fill_report(documents: DataFrame, capacities: DataFrame, segment: int = SEGMENT, loss: float = LOSS, prompt: str = PROMPT) -> DataFrame:
+    """Per kind of container: its limits, containers used and at each limit, least possible number by tokens, pieces,
+    tokens and the share of room used."""
+    p = packed(documents, capacities, segment=segment, loss=loss, prompt=prompt).where("bin IS NOT NULL")
+    by = p.groupBy("container", "shard", "bin").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"), F.sum("n_loss").alias("l"))
+    c = capacities.where("capacity > 0").select("container", F.col("capacity").cast("bigint").alias("capacity")).distinct()
+    c = c.withColumn("max_segments", F.greatest(F.lit(FEWEST), F.floor(F.col("capacity") / segment))).withColumn("max_loss", F.greatest(F.lit(1), F.floor(F.col("capacity") * loss)))
+    at = lambda x, limit: F.count_if(F.col(x) >= F.col(limit))
+    n = by.join(F.broadcast(c), "container").groupBy("container", "capacity", "max_segments", "max_loss").agg(  # as many rows as there are settings
+        F.count("*").alias("n_bins"), at("t", "capacity").alias("at_capacity"), at("n", "max_segments").alias("at_segments"), at("l", "max_loss").alias("at_loss"), F.sum("n").alias("n_pieces"), F.sum("t").alias("n_tokens"))
+    return n.withColumn("least_bins", F.ceil(F.col("n_tokens") / F.col("capacity"))).withColumn("filled", F.round(F.col("n_tokens") / (F.col("n_bins") * F.col("capacity")), 6))

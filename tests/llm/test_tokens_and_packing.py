@@ -2,6 +2,7 @@ import base64
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from conftest import rows
 from glossmill.llm import packing, tokens
@@ -47,55 +48,81 @@ def test_scan_equals_sequential():
     assert first.tolist() == [0, 7, 7, 10]
 
 
+def _by_bin(got, container):
+    bins = defaultdict(list)
+    for x in got:
+        if x.container == container and x.bin is not None:
+            bins[(x.shard, x.bin)].append(x)
+    return bins
+
+
+def _check(got, texts, container, cap, segments, loss, plain):
+    """Every text whole and in order, unsplit if it fits, and no container above a limit."""
+    bins = _by_bin(got, container)
+    for rows_ in bins.values():
+        assert sum(x.n_tokens for x in rows_) <= cap and len(rows_) <= segments
+        lossy = [x.n_loss for x in rows_ if x.n_loss]
+        assert sum(lossy) <= loss or len(lossy) == 1
+    pieces = defaultdict(list)
+    for x in got:
+        if x.container == container:
+            pieces[x.doc_id].append(x)
+    for i, t in texts.items():
+        n, p = len(plain.encode_ordinary(t or "")), sorted(pieces[i], key=lambda x: x.piece)
+        assert sum(x.n_tokens for x in p) == n and len(p) == max(1, -(-n // cap)) and [x.from_token for x in p] == [k * cap for k in range(len(p))]
+        assert (p[0].bin is None) == (n == 0) and all(0 <= x.n_loss <= x.n_tokens for x in p)
+    assert set(pieces) == set(texts)
+    return bins
+
+
+CAPS = [("s", "byte_bpe_50k", 128), ("s", "byte_bpe_50k", 128), ("l", "byte_bpe_50k", 512), (None, None, None), ("bad", "byte_bpe_50k", 0)]
+
+
 def test_packing(spark, plain):
     r = random.Random(1)
-    texts = [" ".join(r.choice(["carl", "donut", "the", "dungeon"]) for _ in range(r.randrange(1, 120))) + ("\nand then more" if i % 3 else "") for i in range(400)]
-    texts[0], texts[1], texts[2] = None, "", "word " * 1000
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("bin", F.lit(3))
-    caps = spark.createDataFrame([("s", "byte_bpe_50k", 128), ("s", "byte_bpe_50k", 128), ("l", "byte_bpe_50k", 512), (None, None, None), ("bad", "byte_bpe_50k", 0)], "container string, tokenizer string, capacity int")
+    texts = [" ".join(r.choice(["lamp", "wick", "the", "gate"]) for _ in range(r.randrange(1, 120))) + ("\nand then more" if i % 3 else "") for i in range(400)]
+    texts[0], texts[1], texts[2], texts[3] = None, "", "word " * 1000, " word" * 256
+    docs = spark.createDataFrame([*enumerate(texts), (None, " word" * 128), (None, " word" * 128), (None, "a b")], "doc_id bigint, text string").withColumn("bin", F.lit(3)).withColumn("n_tokens", F.lit(5))
+    caps = spark.createDataFrame(CAPS, "container string, tokenizer string, capacity int")
     got = packing.packed(docs, caps, shard=150).collect()
-    want = {i: len(plain.encode_ordinary(t or "")) for i, t in enumerate(texts)}
+    named = [x for x in got if x.doc_id is not None]
     for c, cap in (("s", 128), ("l", 512)):
-        mine = [x for x in got if x.container == c]
-        size, pieces, segments = defaultdict(int), defaultdict(list), defaultdict(int)
-        for x in mine:
-            pieces[x.doc_id].append(x)
-            if x.bin is not None:
-                size[x.bin] += x.n_tokens
-                segments[x.bin] += 1
-        assert max(size.values()) <= cap and max(segments.values()) <= max(1, cap // packing.SEGMENT)
-        for i, n in want.items():
-            p = sorted(pieces[i], key=lambda x: x.piece)
-            assert sum(x.n_tokens for x in p) == n and len(p) == max(1, -(-n // cap)) and [x.from_token for x in p] == [k * cap for k in range(len(p))]
-            assert (p[0].bin is None) == (n == 0) and all(0 <= x.n_loss <= x.n_tokens for x in p)
-        assert len(size) <= 1.1 * -(-sum(want.values()) // cap) + 3
+        bins = _check(named, dict(enumerate(texts)), c, cap, max(packing.FEWEST, cap // packing.SEGMENT), int(cap * packing.LOSS), plain)
+        total = sum(x.n_tokens for x in named if x.container == c)
+        assert len(bins) <= 1.1 * -(-total // cap) + 3
+    assert len(_by_bin([x for x in got if x.doc_id is None], "s")) == 3
     assert {r.container for r in packing.fill_report(docs, caps).collect()} == {"s", "l"}
     assert packing.packed(docs.limit(0), caps).isEmpty() and packing.packed(docs, caps.limit(0)).isEmpty()
 
 
-def test_packing_loss_limit(spark, plain):
+def test_full_pieces_never_share_a_container(spark):
+    big = (1 << 62) + 5
+    docs = spark.createDataFrame([(i, " word" * 384) for i in (1, -1, 1 << 43, (1 << 43) + 1, big, None)], "doc_id bigint, text string")
+    got = packing.packed(docs, spark.createDataFrame(CAPS[:1], "container string, tokenizer string, capacity int")).collect()
+    assert len(got) == 18 and len({(x.shard, x.bin) for x in got}) == 18
+
+
+def test_each_limit_of_packing_binds(spark, plain):
     r = random.Random(3)
-    line = lambda n: " ".join(r.choice(["carl", "donut", "the", "dungeon"]) for _ in range(n))
+    line = lambda n: " ".join(r.choice(["lamp", "wick", "the", "gate"]) for _ in range(n))
     texts = [line(r.randrange(1, 40)) + "\n" * (i % 4 > 0) + line(r.randrange(1, 60)) for i in range(300)]
-    texts += [line(900), line(700) + "\n" + line(500), line(256) + "\n" + line(1), line(120), line(400) + "\n", None]
+    texts += [line(900), line(700) + "\n" + line(500), line(256) + "\n" + line(1), line(120), line(400) + "\n", None, *[line(1) for _ in range(400)]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    caps = spark.createDataFrame([("s", "byte_bpe_50k", 128)], "container string, tokenizer string, capacity int")
-    most = {}
-    for share, limit in ((1.0, 128), (0.75, 96)):
-        got = packing.packed(docs, caps, shard=100, loss=share).collect()
-        size, lossy, pieces = defaultdict(int), defaultdict(int), defaultdict(list)
-        for x in got:
-            pieces[x.doc_id].append(x)
-            if x.bin is not None:
-                size[x.bin] += x.n_tokens
-                lossy[x.bin] += x.n_loss
-        most[share] = max(lossy.values())
-        assert max(size.values()) <= 128 and most[share] <= limit
-        for i, t in enumerate(texts):
-            p = sorted(pieces[i], key=lambda x: x.piece)
-            n = len(plain.encode_ordinary(t or ""))
-            assert [x.from_token for x in p] == [sum(y.n_tokens for y in p[:k]) for k in range(len(p))] and sum(x.n_tokens for x in p) == n
-            assert [x.piece for x in p] == list(range(len(p))) and all(x.n_tokens > 0 for x in p[1:])
-            assert len(p) == 1 or n > 128 or sum(x.n_loss for x in p) > limit
-    assert most[1.0] > 96
-    assert packing.fill_report(docs, caps, loss=0.75).first().n_bins > packing.fill_report(docs, caps).first().n_bins
+    caps = spark.createDataFrame(CAPS[:1], "container string, tokenizer string, capacity int")
+    for segment, loss, limits in ((48, 0.75, (4, 96)), (8, 1.0, (16, 128)), (16, 0.9, (8, 115))):
+        bins = _check(packing.packed(docs, caps, shard=200, segment=segment, loss=loss).collect(), dict(enumerate(texts)), "s", 128, *limits, plain)
+        report = packing.fill_report(docs, caps, segment=segment, loss=loss).first()
+        assert (report.max_segments, report.max_loss) == limits and report.n_bins >= report.least_bins
+        full = [sum(x.n_tokens for x in b) == 128 for b in bins.values()]
+        many = [len(b) == limits[0] for b in bins.values()]
+        lossy = [sum(x.n_loss for x in b) >= limits[1] for b in bins.values()]
+        assert any(full) and any(m and not f for m, f in zip(many, full)) and any(y and not f for y, f in zip(lossy, full)) | (loss == 1)
+    # what bears loss is a parameter
+    whole = packing.packed(docs, caps, prompt="").agg(F.sum("n_tokens"), F.sum("n_loss")).first()
+    assert whole[0] == whole[1] > packing.packed(docs, caps).agg(F.sum("n_loss")).first()[0]
+    assert packing.packed(docs, caps, prompt=r"(?s).*").agg(F.sum("n_loss")).first()[0] == 0
+
+
+def test_fill_takes_the_item_that_uses_most_room():
+    bins = packing.fill(np.array([100, 28, 60, 60, 8, 128 - 1]), np.array([10, 28, 60, 0, 8, 3]), 128, 4, 128)
+    assert bins[0] == bins[1] and bins[2] == bins[3] == bins[4] and len(set(bins)) == 3
