@@ -43,7 +43,7 @@ SEGMENT = 48  # tokens of capacity that allow one more segment
 FEWEST = 4  # segments that any container may have
 LOSS = 0.9375  # share of the capacity that loss-bearing tokens may take
 PROMPT = r"[^\n]*\n(?=\s*\S)"
-BATCH = 64  # containers that are filled side by side
+BATCH = 128  # containers that are filled side by side
 
 
 def _sizes(path: str, prompt: str):
@@ -70,25 +70,37 @@ def _sizes(path: str, prompt: str):
     return F.arrow_udf(run, T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_loss", T.LongType())]))
 
 
-def _first_of(wanted: np.ndarray, gain: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Which of the containers get the class they want: as many as it has items left, those that gain most."""
-    order = np.lexsort((-gain, wanted))
-    sorted_ = wanted[order]
-    turn = np.arange(len(order)) - np.searchsorted(sorted_, sorted_)
-    return order[turn < left[sorted_]]
+def _turns(keys: np.ndarray) -> np.ndarray:
+    """For each of the keys how many equal ones come before it."""
+    order = np.argsort(keys, kind="stable")
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.arange(len(keys)) - np.searchsorted(keys[order], keys[order])
+    return out
+
+
+def _best(rooms: np.ndarray, demand: np.ndarray, weighted: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each container the class (of those given, in order of tokens) with the largest product, and the product; below zero where none fits."""
+    few = classes[: np.searchsorted(demand[classes, 0], rooms[:, 0].max() + 1e-12, "right")]
+    if not len(few):
+        return np.zeros(len(rooms), np.int64), np.full(len(rooms), -1.0)
+    fits = (demand[few, 0] <= rooms[:, :1] + 1e-12) & (demand[few, 2] <= rooms[:, 2:] + 1e-12)
+    score = np.where(fits, rooms @ weighted[few].T, -1.0)
+    at = score.argmax(1)
+    return few[at], score[np.arange(len(rooms)), at]
 
 
 def fill(n_tokens: np.ndarray, n_loss: np.ndarray, capacity: int, segments: int, loss: int) -> np.ndarray:
     """Number of the container of each item; no item has more tokens than the capacity."""
     items = np.stack([n_tokens, n_loss], 1)
-    classes, of = np.unique(items, axis=0, return_inverse=True)  # in order of tokens
+    classes, of = np.unique(items, axis=0, return_inverse=True)  # in order of tokens, then of loss
     of = of.reshape(-1)
     order = np.argsort(of, kind="stable")
     begins = np.searchsorted(of[order], np.arange(len(classes) + 1))
     left, used = np.diff(begins), begins[:-1].copy()
     demand = np.column_stack([classes[:, 0] / capacity, np.full(len(classes), 1 / segments), np.minimum(classes[:, 1] / loss, 1.0)])
     weights = (demand * left[:, None]).sum(0)
-    weighted = demand * (weights / (weights.sum() or 1))
+    weights /= weights.sum() or 1
+    weighted = demand * weights
     out = np.empty(len(items), np.int64)
     number, todo = 0, int(items[:, 0].sum())
     alive = np.arange(len(classes))
@@ -97,31 +109,33 @@ def fill(n_tokens: np.ndarray, n_loss: np.ndarray, capacity: int, segments: int,
         n = max(1, min(BATCH, todo // capacity // 2))
         room = np.ones((n, 3))
         open_ = np.arange(n)
-        opening = np.argsort(-weighted[alive].sum(1), kind="stable")
-        counts = np.minimum(left[alive[opening]], n)
-        first = np.repeat(alive[opening], counts)[:n]  # the best classes open a container each
-        while len(open_):
-            if first is not None:
-                open_, wanted, gets = open_[: len(first)], first, np.arange(len(first))
-                first = None
+        while len(open_) and len(alive):
+            rooms = room[open_]
+            most = demand[alive].max(0)
+            easy = (rooms >= most - 1e-12).all(1)
+            if easy.any():
+                # where everything fits, the best items by the rooms' mean are dealt out, the first to where most room is
+                these = open_[easy]
+                score = weighted[alive] @ rooms[easy].mean(0)
+                top = np.argpartition(-score, len(these) - 1)[: len(these)] if len(these) < len(alive) else np.arange(len(alive))
+                top = alive[top[np.argsort(-score[top], kind="stable")]]
+                kinds = np.repeat(top, np.minimum(left[top], len(these)))[: len(these)]
+                to = these[np.argsort(-(rooms[easy] @ weights), kind="stable")[: len(kinds)]]
             else:
-                rooms = room[open_]
-                few = alive[: np.searchsorted(demand[alive, 0], rooms[:, 0].max() + 1e-12, "right")]
-                fits = (demand[few, 0] <= rooms[:, :1] + 1e-12) & (demand[few, 2] <= rooms[:, 2:] + 1e-12) & (rooms[:, 1:2] >= 1 / segments - 1e-12)
-                score = np.where(fits, rooms @ weighted[few].T, -1.0) if len(few) else np.full((len(open_), 1), -1.0)
-                best = score.argmax(1)
-                gain = score[np.arange(len(open_)), best]
-                on = gain >= 0
-                open_ = open_[on]
-                if not len(open_):
-                    break
-                wanted = few[best[on]]
-                gets = _first_of(wanted, gain[on], left)
-            to, kinds = open_[gets], wanted[gets]
-            rank = np.argsort(kinds, kind="stable")
-            turn = np.empty(len(kinds), np.int64)
-            turn[rank] = np.arange(len(kinds)) - np.searchsorted(kinds[rank], kinds[rank])
-            out[order[used[kinds] + turn]] = number + to
+                # of classes with equal tokens the last has most loss: the others matter only where the room for loss binds
+                last = alive[np.append(classes[alive[1:], 0] != classes[alive[:-1], 0], True)]
+                upto = np.searchsorted(demand[last, 0], rooms[:, 0] + 1e-12, "right")
+                tight = np.append(0.0, np.maximum.accumulate(demand[last, 2]))[upto] > rooms[:, 2] + 1e-12
+                wanted, gain = np.zeros(len(open_), np.int64), np.full(len(open_), -1.0)
+                for some, choice in ((tight, alive), (~tight, last)):
+                    if some.any():
+                        wanted[some], gain[some] = _best(rooms[some], demand, weighted, choice)
+                on = (gain >= 0) & (rooms[:, 1] >= 1 / segments - 1e-12)
+                open_, wanted, gain = open_[on], wanted[on], gain[on]
+                first = np.argsort(-gain, kind="stable")  # those that gain most go first
+                gets = first[_turns(wanted[first]) < left[wanted[first]]]
+                to, kinds = open_[gets], wanted[gets]
+            out[order[used[kinds] + _turns(kinds)]] = number + to
             np.add.at(used, kinds, 1)
             np.subtract.at(left, kinds, 1)
             room[to] -= demand[kinds]
