@@ -138,6 +138,29 @@ def test_quality(spark):
     assert quality.divergence(quality.np.array([1.0, 0]), quality.np.array([0.0, 2])) == 1.0
 
 
+def test_moving_variety_counts_windows():
+    import random
+
+    r = random.Random(5)
+    texts = [[r.choice("abcdefg") for _ in range(n)] for n in (0, 1, 2, 9, 10, 11, 40, 200)]
+    want = [1.0 if not t else len(set(t)) / len(t) if len(t) <= 10 else sum(len(set(t[i : i + 10])) for i in range(len(t) - 9)) / (len(t) - 9) / 10 for t in texts]
+    assert quality.moving_variety(texts, 10).tolist() == pytest.approx(want)
+    assert quality.moving_variety([], 10).tolist() == [] and quality.moving_variety([[]]).tolist() == [1.0]
+
+
+def test_structural_centres_follow_clear_texts_only():
+    q = quality.Profiles({}, {})
+    seeds = q.centres.copy()
+    lists, prose = quality._NAMES.index("list"), quality._NAMES.index("prose")
+    clear, unclear = seeds[lists] + 0.02, (seeds[lists] + seeds[prose]) / 2
+    q.fit(quality.np.array([clear] * 300 + [unclear] * 300 + [seeds[prose] + 0.02] * 300))
+    assert q.centres[lists] == pytest.approx((quality.PRIOR * seeds[lists] + 300 * clear) / (quality.PRIOR + 300))
+    moved = (q.centres != seeds).any(1)
+    assert moved[lists] and moved.sum() == 1
+    q.fit(quality.np.zeros((0, 7)))
+    assert not quality.np.isnan(q.centres).any()
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
 def test_queries_run(spark):
     from glossmill.llm import queries
