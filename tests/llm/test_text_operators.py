@@ -152,7 +152,7 @@ def test_structural_centres_follow_clear_texts_only():
     q = quality.Profiles({}, {})
     seeds = q.centres.copy()
     lists, prose = quality._NAMES.index("list"), quality._NAMES.index("prose")
-    clear, unclear = seeds[lists] + 0.02, (seeds[lists] + seeds[prose]) / 2
+    clear, unclear = seeds[lists] + 0.02, (seeds[lists] + seeds[lists + 1]) / 2
     q.fit(quality.np.array([clear] * 300 + [unclear] * 300 + [seeds[prose] + 0.02] * 300))
     assert q.centres[lists] == pytest.approx((quality.PRIOR * seeds[lists] + 300 * clear) / (quality.PRIOR + 300))
     moved = (q.centres != seeds).any(1)
