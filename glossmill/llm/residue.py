@@ -1,13 +1,19 @@
 """Template residue and error-page text.
 
-The sentences of all texts are masked (numbers, hosts, names) and mined with a fixed-depth prefix tree: the
-first levels are the number of tokens and the first tokens, a leaf holds templates, and a sentence joins the
-template it shares most positions with, where differing positions become wildcards. Each partition grows its
-own tree, so a sentence that a third of all records hold is one row before the first shuffle; the trees are
-then merged leaf by leaf. Each distinct masked sentence is judged before it joins a template, and only sentences of
-one verdict share a template, so no wildcard hides a telling word. Verdicts are propagated to the records by leaf and
-template; where a template has wildcards, the words in their place are judged too, so that a record's verdict is that
-of its own sentences whatever else the tables hold. Unresolved slots inside otherwise ordinary records are found apart from that, in the records' text.
+The sentences of all texts are masked (numbers, hosts, names) and counted, so that a sentence that a third of all
+records hold is one row. They are mined with a fixed-depth prefix tree: the first levels are the number of tokens and
+the first tokens, a leaf holds templates, and a sentence joins the template it shares most positions with, where
+differing positions become wildcards. Each partition grows its own tree, path by path; the trees are then merged.
+
+Each template is classified once, by evidence. Patterns of wordings are seeds only: they name some sentences as
+messages or filler, and from all distinct sentences, named and other, log-odds of tokens and of pairs of neighbours are
+learned (naive Bayes over HASHED buckets). A template that no seed names is residue if the log-odds of its constants
+are ODDS or more, records with different titles hold it, and no more than VARYING of its positions vary: it says the same
+about different subjects in words that residue has and text about a subject has not. A template that a seed names is
+residue unless its log-odds are below -ODDS. Seeds of different verdicts never share a template, and a sentence under a
+learned template whose own words are more usual in ordinary text stays ordinary, so no wildcard hides a telling word.
+Verdicts are propagated to the records by sentence. Unresolved slots inside otherwise ordinary records are found apart
+from that, in the records' text. Texts that only send the reader to another title are left out.
 
 Defined cases: null, empty and blank texts are no cases; repeated rows count once; a text of any length is
 read whole; extra columns are ignored; empty tables give no rows.
@@ -16,19 +22,26 @@ read whole; extra columns are ignored; empty tables give no rows.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from html import unescape
 from operator import eq
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.orphans import pointer_target
 from ..plans.lineage import cut
 
 DEPTH = 3  # tokens of a path after the number of tokens
 SIMILAR = 0.6  # least share of equal positions for a sentence to join a template
 WILD = "<*>"
+HASHED = 1 << 18  # buckets of tokens and pairs; what reaches the driver is bounded by them
+ODDS = 5.0  # log-odds from which a template that no seed names is residue
+VARYING = 0.25  # share of wildcards that such a template may have
+SMOOTH = 2.0  # sentences of both kinds in proportion that each bucket counts besides those seen, so that what is new says nothing
 
 _TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"”’')\]]*\s+|\n+")
@@ -67,31 +80,29 @@ def masked(sentence: str) -> tuple[str, list[str]]:
 
 
 class Leaf:
-    """Templates of one path: [tokens, number of sentences, an example, the verdict that all their sentences have]."""
+    """Templates of one path: [tokens, number of sentences, least and largest title hash, the seed of all of them]."""
 
     __slots__ = ("templates",)
 
     def __init__(self):
         self.templates: list[list] = []
 
-    def add(self, tokens: list[str], count: int, example: list[str], verdict: str | None = None) -> None:
+    def add(self, tokens: list[str], n: int = 1, least: int = 0, most: int = 0, seed: str | None = None) -> None:
         best, best_same = None, -1
         for t in self.templates:
-            if t[3] != verdict:
+            if t[4] != seed:
                 continue
             same = sum(map(eq, t[0], tokens))
             if same > best_same:
                 best, best_same = t, same
                 if same == len(tokens):
                     break
-        if best is not None and best_same >= SIMILAR * len(tokens):
-            best[1] += count
-            if example < best[2]:
-                best[2] = example
-            if best_same < len(tokens):
-                best[0] = [a if a == b else WILD for a, b in zip(best[0], tokens)]
-        else:
-            self.templates.append([tokens, count, example, verdict])
+        if best is None or best_same < SIMILAR * len(tokens):
+            self.templates.append([tokens, n, least, most, seed])
+            return
+        best[1:4] = best[1] + n, min(best[2], least), max(best[3], most)
+        if best_same < len(tokens):
+            best[0] = [a if a == b else WILD for a, b in zip(best[0], tokens)]
 
 
 # Wording of messages of servers, sites, programs and browser checks, over masked lower-case text.
@@ -131,8 +142,8 @@ MACHINE = frozenset("browser javascript server website webpage request error htt
 FIELDS = frozenset("name race class place origin reason species subject author profession rank city country date year person character location group hometown faction occupation floor".split())
 
 
-def verdict_of(tokens: list[str]) -> str | None:
-    """``message``, ``filler`` or null (ordinary) for a masked sentence."""
+def seed_of(tokens: list[str]) -> str | None:
+    """``message``, ``filler`` or null (no seed names it) for a masked sentence."""
     text = " ".join(tokens)
     words = [t for t in tokens if t[0].isalpha()]
     if not words:
@@ -182,102 +193,135 @@ def records(pages: DataFrame, entries: DataFrame) -> DataFrame:
     return p.unionByName(e).where(F.col("rec_id").isNotNull() & (F.trim("text") != "")).dropDuplicates(["rec_table", "rec_id", "text"])
 
 
-_SENTENCES = "rec_table string, rec_id bigint, slot boolean, path string, tokens array<string>"
-_TEMPLATES = "path string, tokens array<string>, n bigint, example array<string>, verdict string"
+_SENTENCES = "rec_table string, rec_id bigint, title_hash bigint, slot boolean, path string, tokens array<string>"
+_COUNTED = "path string, tokens array<string>, n bigint, least bigint, most bigint, seed string, bucket int, message bigint, filler bigint, other bigint"
+_TEMPLATES = "path string, tokens array<string>, n bigint, least bigint, most bigint, seed string"
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+
+
+def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    fields = [x.split() for x in ddl.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], _ARROW[kind]) for i, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])
 
 
 def _to_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("rec_table", pa.string()), ("rec_id", pa.int64()), ("slot", pa.bool_()), ("path", pa.string()), ("tokens", pa.list_(pa.string()))])
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
-        for kind, key, text in zip(batch["rec_table"].to_pylist(), batch["rec_id"].to_pylist(), batch["text"].to_pylist()):
+        out = []
+        for kind, key, title, text, pointer in zip(*(batch[c].to_pylist() for c in ("rec_table", "rec_id", "title_hash", "text", "pointer"))):
             plain = plain_of(text)
             if has_slot(plain):
-                for column, value in zip(out, (kind, key, True, None, None)):
-                    column.append(value)
-                continue
-            for path, tokens in sentences_of(plain):
-                for column, value in zip(out, (kind, key, False, path, tokens)):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+                out.append((kind, key, title, True, None, None))
+            elif not pointer:
+                out += [(kind, key, title, False, path, tokens) for path, tokens in sentences_of(plain)]
+        yield _batch(out, _SENTENCES)
 
 
-def _templates_batch(tree: dict[str, Leaf]) -> pa.RecordBatch:
-    rows = [(path, *t) for path, leaf in tree.items() for t in leaf.templates]
-    kinds = (pa.string(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.string()), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "tokens", "n", "example", "verdict"])
+def buckets(tokens: list[str]) -> list[int]:
+    """Buckets of the tokens and of the pairs of neighbours of a sentence or template; wildcards and their pairs are none."""
+    found = {zlib.crc32(t.encode()) % HASHED for t in tokens if t != WILD}
+    ends = ["^", *tokens, "$"]
+    return sorted(found | {zlib.crc32(f"{a} {b}".encode()) % HASHED for a, b in zip(ends, ends[1:]) if a != WILD and b != WILD})
 
 
-GROWN = 1 << 16  # templates that a partition's tree may hold before it is handed on; the merge unites the parts
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct sentences with their seeds, then how many sentences of each kind have each bucket (the last one is all)."""
+    kinds = ("message", "filler", None)
+    counts = np.zeros((len(kinds), HASHED + 1), np.int64)
+    for batch in batches:
+        rows, where = [], [[], [], []]
+        for row in zip(*(batch[c].to_pylist() for c in ("path", "tokens", "n", "least", "most"))):
+            seed = seed_of(row[1])
+            rows.append((*row, seed, *[None] * 4))
+            where[kinds.index(seed)] += [*buckets(row[1]), HASHED]
+        for k, w in enumerate(where):
+            if w:
+                counts[k] += np.bincount(w, minlength=HASHED + 1)
+        yield _batch(rows, _COUNTED)
+    yield _batch([(*[None] * 6, i, *counts[:, i].tolist()) for i in np.flatnonzero(counts.any(0)).tolist()], _COUNTED)
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A tree per partition; input rows have a count, so that grown trees can be merged by the same step."""
-    tree: dict[str, Leaf] = {}
-    size = 0
+    """Templates of rows that come path by path; rows have a count, so that grown trees can be merged by the same step."""
+    path, leaf = None, Leaf()
     for batch in batches:
-        for path, tokens, n, example, verdict in zip(*(batch[c].to_pylist() for c in ("path", "tokens", "n", "example", "verdict"))):
-            leaf = tree.get(path)
-            if leaf is None:
-                leaf = tree[path] = Leaf()
-            before = len(leaf.templates)
-            leaf.add(tokens, n, example, verdict)
-            size += len(leaf.templates) - before
-        if size > GROWN:
-            yield _templates_batch(tree)
-            tree, size = {}, 0
-    yield _templates_batch(tree)
-
-
-def _verdicts(sentences: list[list[str]], known: dict[str, str | None]) -> pa.Array:
-    """Verdict of each masked sentence; equal ones are judged once while ``known`` holds them."""
-    if len(known) > GROWN:
-        known.clear()
-    out = []
-    for tokens in sentences:
-        text = " ".join(tokens)
-        if text not in known:
-            known[text] = verdict_of(tokens)
-        out.append(known[text])
-    return pa.array(out, pa.string())
-
-
-def _grow_judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A tree per partition of sentences (path, tokens), each judged before its wording is lost in a template."""
-    known: dict[str, str | None] = {}
-
-    def judged() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            path, tokens = batch["path"], batch["tokens"]
-            one = pa.array([1] * len(path), pa.int64())
-            yield pa.RecordBatch.from_arrays([path, tokens, one, tokens, _verdicts(tokens.to_pylist(), known)], names=["path", "tokens", "n", "example", "verdict"])
+        done = []
+        for at, *row in zip(*(batch[c].to_pylist() for c in ("path", "tokens", "n", "least", "most", "seed"))):
+            if at != path:
+                done += [(path, *t) for t in leaf.templates]
+                path, leaf = at, Leaf()
+            leaf.add(*row)
+        yield _batch(done, _TEMPLATES)
+    yield _batch([(path, *t) for t in leaf.templates], _TEMPLATES)
 
-    return _grow(judged())
 
+def sentences(found: DataFrame) -> DataFrame:
+    """Masked sentences of (rec_table, rec_id, title, text); a record with an unresolved slot has one row with ``slot`` true instead."""
+    texts = found.select("rec_table", "rec_id", F.xxhash64("title").alias("title_hash"), "text", pointer_target(F.col("text")).isNotNull().alias("pointer"))
+    return cut(texts.mapInArrow(_to_sentences, _SENTENCES), "sentences")
 
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rec_table, rec_id, tokens) with the verdict of their own words."""
-    known: dict[str, str | None] = {}
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch["rec_table"], batch["rec_id"], _verdicts(batch["tokens"].to_pylist(), known)], names=["rec_table", "rec_id", "verdict"])
 
+def counted(found: DataFrame) -> DataFrame:
+    """Each distinct sentence (path, tokens) with its number, two of its titles' hashes and its seed; and rows of buckets."""
+    each = found.where("NOT slot").groupBy("path", "tokens").agg(F.count("*").alias("n"), F.min("title_hash").alias("least"), F.max("title_hash").alias("most"))
+    return cut(each.mapInArrow(_count, _COUNTED), "counted")
 
-def sentences(found: DataFrame) -> DataFrame:
-    """Masked sentences of (rec_table, rec_id, text); a record with an unresolved slot has one row with ``slot`` true instead."""
-    return cut(found.select("rec_table", "rec_id", "text").mapInArrow(_to_sentences, _SENTENCES), "sentences")
 
+def weights(distinct: DataFrame) -> np.ndarray:
+    """Log-odds of each bucket: of residue against other sentences, and of messages against filler."""
+    counts = np.zeros((3, HASHED + 1))
+    for i, *n in distinct.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("message"), F.sum("filler"), F.sum("other")).collect():
+        counts[:, i] = n
+
+    def odds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        part = (a[-1] + 1) / (a[-1] + b[-1] + 2)
+        return np.log((a[:-1] + SMOOTH * part) / (b[:-1] + SMOOTH * (1 - part))) - np.log(part / (1 - part))
+
+    return np.stack([odds(counts[0] + counts[1], counts[2]), odds(counts[0], counts[1])])
+
+
+def templates(distinct: DataFrame) -> DataFrame:
+    """(path, tokens, n, least, most, seed): the templates mined from all sentences."""
+    grown = distinct.where("path IS NOT NULL").select("path", "tokens", "n", "least", "most", "seed").sortWithinPartitions("path").mapInArrow(_grow, _TEMPLATES)
+    return grown.where("path IS NOT NULL").repartition("path").sortWithinPartitions("path", F.desc("n"), "tokens").mapInArrow(_grow, _TEMPLATES).where("path IS NOT NULL")
+
+
+def _classify(log_odds: np.ndarray):
+    def verdict(tokens: list[str], least: int, most: int, seed: str | None) -> str | None:
+        odds, kind = log_odds[:, buckets(tokens)].sum(1)
+        if seed is not None:
+            return seed if odds > -ODDS else None
+        if odds >= ODDS and least != most and tokens.count(WILD) <= VARYING * len(tokens):
+            return "message" if kind >= 0 else "filler"
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("path", "tokens", "least", "most", "seed")]
+            yield _batch([(p, t, s, v) for p, t, a, b, s in zip(*columns) if (v := verdict(t, a, b, s))], "path string, template array<string>, seed string, verdict string")
+
+    return run
+
+
+def _own(log_odds: np.ndarray):
+    """Sentences (path, h, tokens, seed, verdict) whose own words don't speak for ordinary text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("path", "h", "tokens", "seed", "verdict")]
+            yield _batch([(p, h, v) for p, h, t, s, v in zip(*columns) if s is not None or log_odds[0, buckets(t)].sum() >= 0], "path string, h bigint, verdict string")
 
-def templates(found: DataFrame) -> DataFrame:
-    """(path, tokens, n, example, verdict): the templates mined from all sentences and the verdict of their sentences."""
-    grown = found.where("NOT slot").select("path", "tokens").mapInArrow(_grow_judged, _TEMPLATES)
-    return grown.repartition("path").sortWithinPartitions("path", F.desc("n")).mapInArrow(_grow, _TEMPLATES)
+    return run
 
 
 def judged_sentences(found: DataFrame) -> DataFrame:
-    """(rec_table, rec_id, verdict) for each sentence under a template that isn't ordinary and not ordinary itself."""
-    bad = templates(found).where("verdict IS NOT NULL").select("path", F.col("tokens").alias("template")).distinct()
+    """(rec_table, rec_id, verdict) for each sentence that is residue."""
+    distinct = counted(found)
+    log_odds = weights(distinct)
+    bad = cut(templates(distinct).mapInArrow(_classify(log_odds), "path string, template array<string>, seed string, verdict string"), "verdicts")
     fits = F.forall(F.zip_with("tokens", "template", lambda a, b: (a == b) | (b == WILD)), lambda x: x)
-    return found.where("NOT slot").join(bad, "path").where(fits).select("rec_table", "rec_id", "tokens").distinct().mapInArrow(_own, "rec_table string, rec_id bigint, verdict string").where("verdict IS NOT NULL")
+    named = distinct.where("path IS NOT NULL").select("path", F.xxhash64("tokens").alias("h"), "tokens", F.col("seed").alias("own_seed"))
+    these = named.join(bad, "path").where(F.col("seed").eqNullSafe(F.col("own_seed")) & fits).select("path", "h", "tokens", "seed", "verdict").mapInArrow(_own(log_odds), "path string, h bigint, verdict string").distinct()
+    return found.where("NOT slot").select("rec_table", "rec_id", "path", F.xxhash64("tokens").alias("h")).join(these, ["path", "h"]).select("rec_table", "rec_id", "verdict")
 
 
 def residue(pages: DataFrame, entries: DataFrame) -> DataFrame:
