@@ -3,13 +3,15 @@
 A backward character n-gram model: for the characters before a value's end it compares how often the corpus
 ends there with how often it goes on. Texts are masked first (names and numbers), so that contexts are about
 wording. Contexts of several lengths are hashed; only contexts that end some value are counted, which a filter
-of fixed size decides while the corpus is scanned, and the counts are exact by a join afterwards. The longest
+decides while the corpus is scanned, and the counts are exact by a join afterwards. The filter has PER_CONTEXT bits
+for each context that ends a value; where that would be more than MOST_BITS, contexts are dealt to several filters and
+the corpus is scanned once for each. The longest
 context with enough evidence gives the log-odds of an end, and a threshold per language and column decides.
 Broken markup and half characters are exact signs of a cut. Signs of omission are taken off before scoring.
 
 Defined cases: null, empty and blank values are no cases; equal texts count once as evidence, so a cut text
-that another table inherited doesn't vouch for itself; values that end a sentence are no cases; pointers to
-other titles and template residue are none either; repeated rows give one row; empty tables give none.
+that another table inherited doesn't vouch for itself; values that end a sentence are no cases, but a full stop after
+an abbreviation or initial ends none; pointers to other titles and the cases of operator 1 are none either; repeated rows give one row; empty tables give none.
 """
 
 from __future__ import annotations
@@ -29,13 +31,16 @@ from . import residue
 
 ORDERS = (3, 6, 11, 18, 30)  # lengths of contexts
 EVIDENCE = 3  # other occurrences that a context needs to be believed
-BITS = 1 << 22  # of the filter
+PER_CONTEXT = 8  # bits of the filter
+MOST_BITS = 1 << 26  # of one filter
 
 _NAME = re.compile(r"(?<![.!?…:“\n>] )(?<!^)(?<![\w’'“>])[A-ZÀ-ÖØ-Þ][\w’'-]*(?: (?:the |of |von )?[A-ZÀ-ÖØ-Þ][\w’'-]*)*")
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
 _HALF_NAME = re.compile(r"N (?:of?(?: t(?:he?)?)?|t(?:he?)?|v(?:on?)?)$")
 _SIGN = re.compile(r"(?:\s*(?:\.{2,}|…|[\[(]\s*(?:\+|…|\.{3}|more|read more|cont(?:\.|inued|inue reading)?|truncated|cut|mehr|weiterlesen|suite|lire la suite|más|leer más)\s*[\])]))+\s*$", re.I)
 _END = re.compile(r"[.!?]['\"”’»)\]]*$|[。！？]$")
+# Abbreviations after which a sentence goes on.
+_ABBREVIATED = re.compile(r"(?:^|[\s(“\"])(?:Mr|Mrs|Ms|Dr|Prof|Capt|Lt|Col|Gen|Sgt|St|Hr|Mme|Mlle|Sra|bzw|[A-Z])\.$")
 _BROKEN = re.compile(r"<[A-Za-z/!][^<>]*$|<$|&(?:#?\w{0,8})$|�+$")
 _TAGS = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?>")
 # Function words that tell the four languages apart.
@@ -102,11 +107,6 @@ def context_hashes(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.repeat(np.arange(len(texts)), sizes), hashes
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    """Bit of the filter for each hash."""
-    return ((h.view(np.uint64) >> np.uint64(11)) % np.uint64(BITS)).astype(np.int64)
-
-
 _TAILS = "rec_table string, rec_id bigint, host string, text string, lang string, signed boolean, broken boolean, text_hash bigint, contexts array<bigint>"
 
 
@@ -122,7 +122,7 @@ def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             plain = residue.plain_of(text).rstrip()
             bare = _SIGN.sub("", plain)
             signed = bare != plain
-            if not broken and not signed and _END.search(plain):
+            if not broken and not signed and _END.search(plain) and not _ABBREVIATED.search(plain):
                 continue
             rows.append((kind, key, host, text, language_of(bare), signed, broken, h))
             ends.append(mask_of(bare) or " ")
@@ -135,8 +135,9 @@ def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _goings_on(bits: np.ndarray):
-    """(h, n): how often the corpus goes on after a context, for contexts that pass the filter."""
+def _goings_on(bits: np.ndarray, part: int, parts: int):
+    """(h, n): how often the corpus goes on after a context, for contexts of a part that pass its filter."""
+    size = np.uint64(64 * len(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,22 +147,35 @@ def _goings_on(bits: np.ndarray):
                 inside = np.append(whose[1:] == whose[:-1], False)
                 found = []
                 for h in hashes:
-                    b = _bit(h)
-                    found.append(h[inside & ((bits[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)])
+                    u = h.view(np.uint64) >> np.uint64(11)
+                    b = (u // np.uint64(parts) % size).astype(np.int64)
+                    passes = inside & ((bits[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+                    found.append(h[passes & (u % np.uint64(parts) == part)] if parts > 1 else h[passes])
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
 
     return run
 
 
-def _filter(ends: DataFrame) -> np.ndarray:
-    """The filter's words; at most BITS / 64 rows reach the driver, whatever the data."""
-    bit = F.pmod(F.shiftrightunsigned("h", 11), F.lit(BITS))
-    words = ends.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits")).collect()
-    out = np.zeros(BITS // 64, np.int64)
-    for w, b in words:
-        out[w] = b
-    return out.view(np.uint64)
+def goings_on(ends: DataFrame, texts: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """(h, goes): how often distinct texts go on after each context of ``ends``, and after some others.
+
+    Of a filter no more than most_bits / 64 rows reach the driver.
+    """
+    n = ends.count()
+    size = 1 << max(12, min(most_bits, PER_CONTEXT * n) - 1).bit_length() if n else 1 << 12
+    size = min(size, most_bits)
+    parts = max(1, -(-PER_CONTEXT * n // size))
+    u = F.shiftrightunsigned("h", 11)
+    counted = None
+    for part in range(parts):
+        mine = ends.where(F.pmod(u, F.lit(parts)) == part).select(F.pmod(F.floor(u / F.lit(parts)) if parts > 1 else u, F.lit(size)).cast("bigint").alias("b"))
+        words = mine.groupBy(F.shiftright("b", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits")).toArrow()
+        bits = np.zeros(size // 64, np.int64)
+        bits[words["w"].to_numpy()] = words["bits"].to_numpy()
+        found = texts.mapInArrow(_goings_on(bits.view(np.uint64), part, parts), "h bigint, n bigint")
+        counted = found if counted is None else counted.unionByName(found)
+    return counted.groupBy("h").agg(F.sum("n").alias("goes"))
 
 
 def _values(pages: DataFrame, entries: DataFrame) -> DataFrame:
@@ -169,35 +183,35 @@ def _values(pages: DataFrame, entries: DataFrame) -> DataFrame:
     return r.select("rec_table", "rec_id", host_of(F.col("url")).alias("host"), "text", F.xxhash64("text").alias("text_hash"))
 
 
-def scored(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """(rec_table, rec_id, host, text, lang, signed, broken, odds): log-odds of an end for values that don't end a sentence."""
+def scored(pages: DataFrame, entries: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """(rec_table, rec_id, host, text, lang, signed, broken, odds): log-odds of an end for values that don't end a sentence.
+
+    What is joined grows with the data on both sides, so the joins are merge joins, whatever the sizes.
+    """
     values = cut(_values(pages, entries), "values")
     tails = cut(values.where(pointer_target(F.col("text")).isNull()).mapInArrow(_tails, _TAILS), "tails")
     events = tails.select("text_hash", F.explode("contexts").alias("h")).distinct()
     ends = cut(events.groupBy("h").agg(F.count("*").alias("ends")), "ends")
-    goes = values.select("text_hash", "text").distinct().select("text").mapInArrow(_goings_on(_filter(ends)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("goes"))
-    model = ends.join(goes, "h", "left").select("h", F.col("ends") - 1, F.coalesce("goes", F.lit(0)).alias("goes")).toDF("h", "ends", "goes")
+    goes = goings_on(ends, values.select("text_hash", "text").distinct().select("text"), most_bits)
+    model = ends.join(goes.hint("merge"), "h", "left").select("h", F.col("ends") - 1, F.coalesce("goes", F.lit(0)).alias("goes")).toDF("h", "ends", "goes")
     # a tuple of contexts is scored once, however many values end with it
     tuples = tails.select("contexts").distinct()
-    each = tuples.select("contexts", F.posexplode("contexts").alias("order", "h")).join(model, "h")
+    each = tuples.select("contexts", F.posexplode("contexts").alias("order", "h")).join(model.hint("merge"), "h")
     enough = F.when(F.col("ends") + F.col("goes") >= EVIDENCE, F.struct("order", (F.log(F.col("ends") + 0.5) - F.log(F.col("goes") + 0.5)).alias("odds")))
     best = each.groupBy("contexts").agg(F.max(enough).alias("best")).select("contexts", F.col("best.odds").alias("odds"))
-    return tails.join(best, "contexts", "left").drop("contexts", "text_hash")
+    return tails.join(best.hint("merge"), "contexts", "left").drop("contexts", "text_hash")
 
 
 def truncated(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """(rec_table, rec_id, host): truncated values, without those that are residue."""
+    """(rec_table, rec_id, host): truncated values, without the cases of operator 1."""
     s = cut(scored(pages, entries), "scored")
     # the threshold lies between the mean log-odds of likely ends and of likely goings-on, per language and column
     sides = s.groupBy("rec_table", "lang").agg(F.avg(F.when(F.col("odds") >= 0, F.col("odds"))).alias("high"), F.avg(F.when(F.col("odds") < 0, F.col("odds"))).alias("low"))
     limits = sides.select("rec_table", "lang", F.least(F.greatest((F.coalesce("high", F.lit(1.0)) + F.coalesce("low", F.lit(-1.0))) / 2, F.lit(-1.0)), F.lit(1.0)).alias("limit"))
     at = s.join(F.broadcast(limits), ["rec_table", "lang"])  # two columns by five languages
     cut_off = F.col("broken") | F.coalesce(F.col("odds") < F.col("limit"), F.col("signed"))
-    found = cut(at.where(cut_off).select("rec_table", "rec_id", "host", "text"), "found")
-    # a sentence's verdict doesn't depend on other records, so all texts of the records found give the cases of p1 among them
-    keys = found.select("rec_table", "rec_id").distinct()
-    theirs = residue.records(pages, entries).join(keys, ["rec_table", "rec_id"], "left_semi")
-    return found.drop("text").distinct().join(residue.residue_of(theirs), ["rec_table", "rec_id"], "left_anti")
+    found = at.where(cut_off).select("rec_table", "rec_id", "host").distinct()
+    return found.join(residue.residue(pages, entries).hint("merge"), ["rec_table", "rec_id"], "left_anti")
 
 
 def truncated_found(pages: DataFrame, entries: DataFrame) -> DataFrame:

@@ -30,11 +30,11 @@ def test_residue(make):
 
 def test_template_tree():
     leaf = residue.Leaf()
-    for s in ("please enable scripts to go on", "please enable js to go on", "please open the gate right now"):
-        path, tokens = residue.masked(s)
-        leaf.add(tokens, 1, tokens)
-    assert [(t[0], t[1]) for t in leaf.templates] == [(["please", "enable", "<*>", "to", "go", "on"], 2), (["please", "open", "the", "gate", "right", "now"], 1)]
+    for i, x in enumerate(("please enable scripts to go on", "please enable js to go on", "please open the gate right now")):
+        leaf.add(residue.masked(x)[1], 1, i, i)
+    assert leaf.templates == [[["please", "enable", "<*>", "to", "go", "on"], 2, 0, 1, None], [["please", "open", "the", "gate", "right", "now"], 1, 2, 2, None]]
     assert residue.masked("Captain Carl met 40 cats at x.example")[0] == "7|captain|<*>|met" and residue.masked("GO BACK")[1] == ["go", "back"]
+    assert residue.buckets(["a", "<*>", "b"]) == sorted({residue.zlib.crc32(x) % residue.HASHED for x in (b"a", b"b", b"^ a", b"b $")})
 
 
 def test_residue_judged_before_merging(spark, make):
@@ -43,10 +43,24 @@ def test_residue_judged_before_merging(spark, make):
     want = [("pages", 2, "message"), ("pages", 3, "message")]
     none = make("entries", [])
     assert rows(residue.residue(pages.coalesce(1), none)) == rows(residue.residue(pages.repartition(4), none)) == want
-    mined = {(tuple(r.tokens), r.verdict, r.n) for r in residue.templates(residue.sentences(residue.records(pages, none))).collect()}
+    mined = {(tuple(r.tokens), r.seed, r.n) for r in residue.templates(residue.counted(residue.sentences(residue.records(pages, none)))).collect()}
     assert (("turn", "on", "<*>", "and", "reload"), "message", 2) in mined and sum(n for _, v, n in mined if v is None) == 3
 
 
+def test_residue_learns_wordings(make):
+    """Sentences that no pattern names but whose words messages have, about several titles; not in one title or ordinary words."""
+    known = [f"The {x} could not be served by this server; try again in {i} minutes." for i, x in enumerate(("page", "article", "entry", "site", "address", "file", "request"))]
+    known += [f"Database error {i}: the query failed on this server." for i in range(6)]
+    news = "The server of this database could not answer in {} minutes."
+    assert residue.seed_of(residue.masked(news)[1]) is None
+    ordinary = [f"{a} the warden keeps a {b} lamp in the old hall of {c}." for a in ("Orrin", "Tamsin", "Wick", "Brell") for b in ("brass", "clay", "tin", "glass") for c in ("Salt", "Rope", "Moss", "Bell")]
+    texts = known + [news.format(4), news.format(9)] + ordinary
+    pages = make("pages", [{"pageid": i, "title": f"T{i}", "first_paragraph": t} for i, t in enumerate(texts)])
+    assert {r[1] for r in rows(residue.residue_found(pages, make("entries", [])))} == set(range(len(known) + 2))
+    one = pages.withColumn("title", F.lit("T"))
+    assert {r[1] for r in rows(residue.residue_found(one, make("entries", [])))} == set(range(len(known)))
+
+
 def test_truncation(make):
     frames = ["{} was sold to the warden of the {} for twelve coins and a brass key.", "{} is a gilded item found in the {} that lets its owner mend any fish trap once a day.", "Nobody in the {} has seen {} since, and the reward is still unclaimed."]
     names = [f"{a}{b}" for a in ("Kar", "Dol", "Mi", "Ves", "Tor", "Gru") for b in ("nak", "tin", "bor", "sel")]
@@ -74,6 +88,20 @@ def test_truncation_counts_equal_texts_once(make):
     assert len(odds(1)) == 3 and odds(40) == odds(1)
 
 
+def test_truncation_by_several_filters(make):
+    words = [f"{a}{b}" for a in ("lamp", "wick", "moss", "rope") for b in ("gate", "hall", "stair", "well")]
+    texts = [f"The {a} by the {b} was closed at dawn by order of the {c}" for a in words for b in words[:4] for c in words[:3]]
+    pages = make("pages", [{"pageid": i, "title": "x", "url": "https://h.example/x", "first_paragraph": t + ("." if i % 3 else "")} for i, t in enumerate(texts)])
+    one, many = (rows(truncation.scored(pages, make("entries", []), bits), "rec_id", "odds") for bits in (truncation.MOST_BITS, 1 << 6))
+    assert len(one) == len(texts) // 3 and one == many and any(odds is not None for _, odds in one)
+
+
+def test_truncation_after_an_abbreviation(make):
+    whole = [f"The {w} hall was led by Mr. Orrin of the {w} gate." for w in ("salt", "rope", "moss", "bell", "tin", "clay")]
+    pages = make("pages", [{"pageid": i, "title": "x", "url": "https://h.example/x", "first_paragraph": t} for i, t in enumerate([*whole, "The brass hall was led by Mr."])])
+    assert rows(truncation.truncated_found(pages, make("entries", []))) == [("pages", len(whole))]
+
+
 def test_truncation_leaves_out_all_cases_of_residue(make):
     texts = [(1, "Carl sold the <b"), (1, "Please enable JavaScript to view this article"), (2, "Turn on Carl and run. Then <b"), (3, "Turn on Javascript and reload. Then <b"), (4, "Turn on Zev and reload. Then <b"), (5, "Turn on Cookies and reload."), (6, "Turn on Donut and run."), (7, "Loading Carl… If nothing happens, scripting may be disabled. <i"), (8, "The stair is open. <b")]
     pages = make("pages", [{"pageid": i, "title": "x", "url": "https://h.example/x", "first_paragraph": t} for i, t in texts])
