@@ -29,6 +29,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,8 @@ _TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"”’')\]]*\s+|\n+")
 _HOST = re.compile(r"^(?:https?://)?[\w-]+(?:\.[\w-]+)*\.(?:example|com|org|net|wiki|io|de|fr|es)\b\S*$", re.I)
 _NUMBER = re.compile(r"^[#(]?(?:[\w-]*\d[\w:.,%/-]*)[).,;!?]*$")
-_TOKEN_END = re.compile(r"^[\"“”‘’'(\[«»]+|[\"“”’')\].,;:!?»…]+$")
+_DIGIT = re.compile(r"\d")
+_BEFORE, _AFTER = "\"“”‘’'([«»", "\"“”’')].,;:!?»…"  # signs around a word
 
 
 def plain_of(text: str) -> str:
@@ -61,15 +63,15 @@ def masked(sentence: str) -> tuple[str, list[str]]:
     The path is the inner levels of the prefix tree: the number of tokens, then the first tokens.
     """
     words = sentence.split()
-    shouted = sentence.isupper()
+    shouted, numbered = sentence.isupper(), not sentence.isascii() or _DIGIT.search(sentence) is not None
     tokens, path = [], [str(len(words))]
     for i, w in enumerate(words):
-        if any(map(str.isdigit, w)) and _NUMBER.match(w):
+        if numbered and any(map(str.isdigit, w)) and _NUMBER.match(w):
             token = "<#>"
         elif "." in w and _HOST.match(w):
             token = "<host>"
         else:
-            bare = _TOKEN_END.sub("", w)
+            bare = w.lstrip(_BEFORE).rstrip(_AFTER)
             token = bare.casefold() or w
             if 0 < i < DEPTH and not shouted and bare[:1].isupper() and not bare.isupper():
                 path.append(WILD)
@@ -142,24 +144,33 @@ MACHINE = frozenset("browser javascript server website webpage request error htt
 FIELDS = frozenset("name race class place origin reason species subject author profession rank city country date year person character location group hometown faction occupation floor".split())
 
 
-def seed_of(tokens: list[str]) -> str | None:
-    """``message``, ``filler`` or null (no seed names it) for a masked sentence."""
-    text = " ".join(tokens)
-    words = [t for t in tokens if t[0].isalpha()]
-    if not words:
-        return None
-    lorem = sum(w in LOREM for w in words)
-    if lorem >= 4 and lorem >= 0.6 * len(words):
-        return "filler"
-    fields = sum(w in FIELDS for w in words)
-    if fields >= 4 and fields >= 0.4 * len(words):
-        return "filler"
-    if any(p.search(text) for p in FILLERS):
-        return "filler"
-    if any(p.search(text) for p in MESSAGES):
-        return "message"
-    machine = sum(w in MACHINE for w in words)
-    return "message" if machine >= 3 and machine >= 0.3 * len(words) else None
+#: What any pattern needs, for the engine that tries them all at once: word borders left out, words of any signs.
+_MAYBE = "|".join(p.pattern.replace(r"\b", "").replace(r"[\w", r"[^\s").replace(r"\w", r"\S") for p in (*FILLERS, *MESSAGES))
+
+
+def seed_of(tokens: list[str], maybe: bool = True) -> str | None:
+    """``message``, ``filler`` or null (no seed names it) for a masked sentence; patterns are tried if ``maybe``."""
+    if not LOREM.isdisjoint(tokens) or not FIELDS.isdisjoint(tokens):
+        words = [t for t in tokens if t[0].isalpha()]
+        lorem, fields = sum(w in LOREM for w in words), sum(w in FIELDS for w in words)
+        if lorem >= 4 and lorem >= 0.6 * len(words) or fields >= 4 and fields >= 0.4 * len(words):
+            return "filler"
+    if maybe and any(t[0].isalpha() for t in tokens):
+        text = " ".join(tokens)
+        if any(p.search(text) for p in FILLERS):
+            return "filler"
+        if any(p.search(text) for p in MESSAGES):
+            return "message"
+    if not MACHINE.isdisjoint(tokens):
+        words = [t for t in tokens if t[0].isalpha()]
+        machine = sum(w in MACHINE for w in words)
+        return "message" if machine >= 3 and machine >= 0.3 * len(words) else None
+    return None
+
+
+def seeds_of(sentences: list[list[str]]) -> list[str | None]:
+    maybe = pc.match_substring_regex(pa.array([" ".join(t) for t in sentences], pa.string()), _MAYBE).to_pylist()
+    return [seed_of(t, m) for t, m in zip(sentences, maybe)]
 
 
 # Shapes of unresolved slots in a text without tags.
@@ -170,12 +181,13 @@ SLOTS = re.compile("|".join((
     rf"@@{_NAME}@@", r"%[A-Z][A-Z0-9_.]{2,}%", r"__[A-Z][A-Z0-9_.]*__", rf"\${_LOW}\$", rf"\[\[{_LOW}\]\]", rf"<{_LOW}>",
     r"\[(?:[a-z][\w.]*|your [\w ]+) here\]", r"\[(?:INSERT|ADD|ENTER|YOUR|TODO|TBD|PLACEHOLDER)\b[^\[\]]*\]", r"\[(?:[Ee]ditor|[Aa]uthor|[Ww]riter|[Nn]ote to \w+): [^\[\]]*\]?", r"\[object \w+\]", r"(?<!\w)(?:X{3,}|Y{3,}|Z{3,})(?!\w)",
 )))
+_SLOTTY = re.compile(r"[{}%<>@$_\[\]]|XXX|YYY|ZZZ")  # what any slot has
 _VOIDS = re.compile(r"(?<!\w)(?:undefined|null|NaN|None|\(none\)|\(null\)|N/A)(?!\w)")
 
 
 def has_slot(plain: str) -> bool:
     """Whether a text without tags holds an unresolved slot, or values that were never filled."""
-    if SLOTS.search(plain):
+    if _SLOTTY.search(plain) and SLOTS.search(plain):
         return True
     return len(_VOIDS.findall(plain)) >= 2
 
@@ -216,27 +228,39 @@ def _to_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _batch(out, _SENTENCES)
 
 
-def buckets(tokens: list[str]) -> list[int]:
-    """Buckets of the tokens and of the pairs of neighbours of a sentence or template; wildcards and their pairs are none."""
-    found = {zlib.crc32(t.encode()) % HASHED for t in tokens if t != WILD}
-    ends = ["^", *tokens, "$"]
-    return sorted(found | {zlib.crc32(f"{a} {b}".encode()) % HASHED for a, b in zip(ends, ends[1:]) if a != WILD and b != WILD})
+def buckets(sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the tokens and of the pairs of neighbours of sentences or templates, and whose they are.
+
+    A begin and an end are neighbours as well; wildcards and their pairs have no bucket.
+    """
+    flat = pa.array([t for x in sentences for t in ("", *x)] + [""], pa.string()).dictionary_encode()
+    words = flat.dictionary.to_pylist()
+    hashes = np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words))
+    wild = np.fromiter((w == WILD for w in words), bool, len(words))
+    codes = flat.indices.to_numpy(zero_copy_only=False)
+    h, none, border = hashes[codes], wild[codes], codes == codes[-1]
+    whose = np.cumsum(border) - 1
+    single, pair = ~none & ~border, ~none[:-1] & ~none[1:]
+    both = (h[:-1] * 0x9E3779B1 + h[1:] * 0x85EBCA6B) >> 7
+    return np.concatenate([h[single] % HASHED, both[pair] % HASHED]), np.concatenate([whose[single], whose[:-1][pair]])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct sentences with their seeds, then how many sentences of each kind have each bucket (the last one is all)."""
-    kinds = ("message", "filler", None)
+    kinds = {"message": 0, "filler": 1, None: 2}
     counts = np.zeros((len(kinds), HASHED + 1), np.int64)
+    none = lambda n: [pa.nulls(n, _ARROW[x.split()[1]]) for x in _COUNTED.split(", ")[6:]]
+    names = [x.split()[0] for x in _COUNTED.split(", ")]
     for batch in batches:
-        rows, where = [], [[], [], []]
-        for row in zip(*(batch[c].to_pylist() for c in ("path", "tokens", "n", "least", "most"))):
-            seed = seed_of(row[1])
-            rows.append((*row, seed, *[None] * 4))
-            where[kinds.index(seed)] += [*buckets(row[1]), HASHED]
-        for k, w in enumerate(where):
-            if w:
-                counts[k] += np.bincount(w, minlength=HASHED + 1)
-        yield _batch(rows, _COUNTED)
+        if not len(batch):
+            continue
+        tokens = batch["tokens"].to_pylist()
+        seeds = seeds_of(tokens)
+        kind = np.fromiter((kinds[x] for x in seeds), np.int64, len(seeds))
+        found, whose = buckets(tokens)
+        counts += np.bincount(kind[whose] * (HASHED + 1) + found, minlength=counts.size).reshape(counts.shape)
+        counts[:, -1] += np.bincount(kind, minlength=len(kinds))
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in names[:5]), pa.array(seeds, pa.string()), *none(len(batch))], names=names)
     yield _batch([(*[None] * 6, i, *counts[:, i].tolist()) for i in np.flatnonzero(counts.any(0)).tolist()], _COUNTED)
 
 
@@ -285,9 +309,13 @@ def templates(distinct: DataFrame) -> DataFrame:
     return grown.where("path IS NOT NULL").repartition("path").sortWithinPartitions("path", F.desc("n"), "tokens").mapInArrow(_grow, _TEMPLATES).where("path IS NOT NULL")
 
 
+def _sums(log_odds: np.ndarray, sentences: list[list[str]]) -> np.ndarray:
+    found, whose = buckets(sentences)
+    return np.stack([np.bincount(whose, w[found], len(sentences)) for w in log_odds])
+
+
 def _classify(log_odds: np.ndarray):
-    def verdict(tokens: list[str], least: int, most: int, seed: str | None) -> str | None:
-        odds, kind = log_odds[:, buckets(tokens)].sum(1)
+    def verdict(tokens: list[str], least: int, most: int, seed: str | None, odds: float, kind: float) -> str | None:
         if seed is not None:
             return seed if odds > -ODDS else None
         if odds >= ODDS and least != most and tokens.count(WILD) <= VARYING * len(tokens):
@@ -297,7 +325,8 @@ def _classify(log_odds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("path", "tokens", "least", "most", "seed")]
-            yield _batch([(p, t, s, v) for p, t, a, b, s in zip(*columns) if (v := verdict(t, a, b, s))], "path string, template array<string>, seed string, verdict string")
+            odds = _sums(log_odds, columns[1]).tolist()
+            yield _batch([(p, t, s, v) for p, t, a, b, s, o, k in zip(*columns, *odds) if (v := verdict(t, a, b, s, o, k))], "path string, template array<string>, seed string, verdict string")
 
     return run
 
@@ -308,7 +337,8 @@ def _own(log_odds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("path", "h", "tokens", "seed", "verdict")]
-            yield _batch([(p, h, v) for p, h, t, s, v in zip(*columns) if s is not None or log_odds[0, buckets(t)].sum() >= 0], "path string, h bigint, verdict string")
+            odds = _sums(log_odds, columns[2])[0].tolist()
+            yield _batch([(p, h, v) for p, h, t, s, v, o in zip(*columns, odds) if s is not None or o >= 0], "path string, h bigint, verdict string")
 
     return run
 

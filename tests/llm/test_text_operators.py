@@ -34,7 +34,14 @@ def test_template_tree():
         leaf.add(residue.masked(x)[1], 1, i, i)
     assert leaf.templates == [[["please", "enable", "<*>", "to", "go", "on"], 2, 0, 1, None], [["please", "open", "the", "gate", "right", "now"], 1, 2, 2, None]]
     assert residue.masked("Captain Carl met 40 cats at x.example")[0] == "7|captain|<*>|met" and residue.masked("GO BACK")[1] == ["go", "back"]
-    assert residue.buckets(["a", "<*>", "b"]) == sorted({residue.zlib.crc32(x) % residue.HASHED for x in (b"a", b"b", b"^ a", b"b $")})
+    found, whose = residue.buckets([["a", "<*>", "b"], [], ["a", "b"]])
+    by = [sorted(found[whose == i].tolist()) for i in range(3)]
+    assert [len(x) for x in by] == [4, 1, 5] and set(by[0]) < set(by[2]) and max(found) < residue.HASHED
+
+
+def test_seeds_at_once_are_seeds_one_by_one():
+    said = [residue.masked(t)[1] for ts in (*BAD.values(), GOOD) for t in ts] + [["+"], ["página", "solicitada", "no", "existe"]]
+    assert residue.seeds_of(said) == [residue.seed_of(x) for x in said]
 
 
 def test_residue_judged_before_merging(spark, make):
