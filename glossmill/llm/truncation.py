@@ -180,7 +180,7 @@ def goings_on(ends: DataFrame, texts: DataFrame, most_bits: int = MOST_BITS) ->
 
 def _values(pages: DataFrame, entries: DataFrame) -> DataFrame:
     r = residue.records(pages, entries)
-    return r.select("rec_table", "rec_id", host_of(F.col("url")).alias("host"), "text", F.xxhash64("text").alias("text_hash"))
+    return r.select("rec_table", "rec_id", "title", host_of(F.col("url")).alias("host"), "text", F.xxhash64("text").alias("text_hash"))
 
 
 def scored(pages: DataFrame, entries: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
@@ -188,7 +188,10 @@ def scored(pages: DataFrame, entries: DataFrame, most_bits: int = MOST_BITS) ->
 
     What is joined grows with the data on both sides, so the joins are merge joins, whatever the sizes.
     """
-    values = cut(_values(pages, entries), "values")
+    return _scored(cut(_values(pages, entries), "values"), most_bits)
+
+
+def _scored(values: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     tails = cut(values.where(pointer_target(F.col("text")).isNull()).mapInArrow(_tails, _TAILS), "tails")
     events = tails.select("text_hash", F.explode("contexts").alias("h")).distinct()
     ends = cut(events.groupBy("h").agg(F.count("*").alias("ends")), "ends")
@@ -204,14 +207,15 @@ def scored(pages: DataFrame, entries: DataFrame, most_bits: int = MOST_BITS) ->
 
 def truncated(pages: DataFrame, entries: DataFrame) -> DataFrame:
     """(rec_table, rec_id, host): truncated values, without the cases of operator 1."""
-    s = cut(scored(pages, entries), "scored")
+    values = cut(_values(pages, entries), "values")
+    s = cut(_scored(values), "scored")
     # the threshold lies between the mean log-odds of likely ends and of likely goings-on, per language and column
     sides = s.groupBy("rec_table", "lang").agg(F.avg(F.when(F.col("odds") >= 0, F.col("odds"))).alias("high"), F.avg(F.when(F.col("odds") < 0, F.col("odds"))).alias("low"))
     limits = sides.select("rec_table", "lang", F.least(F.greatest((F.coalesce("high", F.lit(1.0)) + F.coalesce("low", F.lit(-1.0))) / 2, F.lit(-1.0)), F.lit(1.0)).alias("limit"))
     at = s.join(F.broadcast(limits), ["rec_table", "lang"])  # two columns by five languages
     cut_off = F.col("broken") | F.coalesce(F.col("odds") < F.col("limit"), F.col("signed"))
     found = at.where(cut_off).select("rec_table", "rec_id", "host").distinct()
-    return found.join(residue.residue(pages, entries).hint("merge"), ["rec_table", "rec_id"], "left_anti")
+    return found.join(residue.residue_of(values).hint("merge"), ["rec_table", "rec_id"], "left_anti")
 
 
 def truncated_found(pages: DataFrame, entries: DataFrame) -> DataFrame:
