@@ -6,6 +6,9 @@ goes, and its two neighbours are linked instead). What is left, the core with de
 solved by alternating large-star and small-star steps. Then the labels are restored to the removed vertices,
 latest round first.
 
+Keys are numbered once, by the place of their row in a written table, and all rounds work on numbers; each group's
+smallest key is looked up at the end.
+
 Everything is a join or an aggregation with partial aggregation before its shuffle: no adjacency list is ever
 collected, so a hub with a third of all pairs is counted, not gathered. Joins that look a hub up have it on
 the side that adaptive execution splits. Each round is written to the shared folder, which cuts the lineage.
@@ -36,7 +39,8 @@ def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _rank(v: str, turn: int):
-    return F.struct(F.xxhash64(F.col(v), F.lit(turn)), F.col(v))
+    """A vertex's turn among its neighbours; of two equal ones neither goes."""
+    return F.xxhash64(F.col(v), F.lit(turn))
 
 
 def _contract(edges: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +88,20 @@ def components(pairs: DataFrame, left: str = "a", right: str = "b", rounds: int
     ``rounds`` bounds the contraction; what it leaves goes to the core solver, so the result doesn't depend on it.
     """
     pairs = cut(pairs.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct(), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    names = cut(ends.withColumn("id", F.monotonically_increasing_id()), "names")
+    # the keys are unique on one side of both joins, so a hub is on the side that adaptive execution splits
+    numbered = pairs.join(names.select(F.col("key").alias("a"), F.col("id").alias("ia")), "a").join(names.select(F.col("key").alias("b"), F.col("id").alias("ib")), "b")
+    pairs = cut(numbered.select(F.col("ia").alias("a"), F.col("ib").alias("b")), "numbered")
     edges = cut(_ordered(pairs, "a", "b"), "edges")
+    label = _labels(pairs, edges, rounds)
+    named = cut(label.join(names.withColumnRenamed("id", "v"), "v").select("label", F.col("key").alias("title_key")), "named")
+    least = named.groupBy("label").agg(F.min("title_key").alias("group_key"))
+    return named.join(least, "label").select("group_key", "title_key")
+
+
+def _labels(pairs: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
+    """(v, label): for each vertex of ``pairs`` a vertex that stands for its group."""
     gone: list[DataFrame] = []
     last = edges.count()
     while last and len(gone) < rounds:
@@ -97,7 +114,7 @@ def components(pairs: DataFrame, left: str = "a", right: str = "b", rounds: int
         last = n
     loops = pairs.where("a = b").select("a").distinct().select(F.col("a").alias("v"), F.col("a").alias("label"))
     if not gone:
-        return loops.select(F.col("label").alias("group_key"), F.col("v").alias("title_key"))
+        return loops
     # vertices without a label yet that others follow: the smaller ends of pairs, and single vertices left over
     label = None
     if last:
@@ -112,9 +129,7 @@ def components(pairs: DataFrame, left: str = "a", right: str = "b", rounds: int
         known = cut(known, "known")
         label = known.unionByName(removed.join(known.withColumnRenamed("v", "up"), "up").select("v", "label"))
     label = cut(label, "labels")
-    least = label.groupBy("label").agg(F.min("v").alias("group_key"))
-    joined = label.join(least, "label").select("group_key", F.col("v").alias("title_key"))
-    return joined.unionByName(loops.join(label, "v", "left_anti").select(F.col("label").alias("group_key"), F.col("v").alias("title_key")))
+    return label.unionByName(loops.join(label, "v", "left_anti"))
 
 
 def title_pairs(redirects: DataFrame, entries: DataFrame) -> DataFrame:
