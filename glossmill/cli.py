@@ -19,7 +19,8 @@ from .sources.tables import table
 
 def _store(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     if path.endswith((".sqlite", ".db")):
-        return read_sqlite(spark, path, "pages"), read_sqlite(spark, path, "redirects")
+        pages = ["pageid", "title", "url", "source_category", "raw_html", "first_paragraph", "status", "in_scope", "fetched_at"]
+        return read_sqlite(spark, path, "pages", columns=pages).where("status = 'ok'"), read_sqlite(spark, path, "redirects").where("status = 'ok'")
     return table(spark, path, "pages"), table(spark, path, "redirects")
 
 

@@ -7,7 +7,7 @@ missing and circular forwards stay as they are; order is the ASCII-lower order o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import markup
@@ -15,6 +15,7 @@ from ..functions import text as X
 from ..functions.keys import collapse, fold
 from ..plans.lineage import cut
 from ..sources.tables import optional
+from .index import ranked
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
@@ -22,7 +23,8 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     p = optional(optional(optional(pages, "source_category", "string"), "in_scope", "int", 1), "fetched_at", "timestamp")
     p = p.where((F.col("status") == "ok") & (F.coalesce("first_paragraph", F.lit("")) != "") & (F.col("in_scope") == 1))
     key = F.coalesce(F.col("pageid").cast("string"), F.col("title")) if "pageid" in pages.columns else F.col("title")
-    newest = F.max_by(F.struct("title", "url", "first_paragraph", "raw_html", "source_category"), F.struct("fetched_at", "title", "first_paragraph", "raw_html", "source_category"))
+    row = ("title", "url", "first_paragraph", "raw_html", "source_category")
+    newest = F.max_by(F.struct(*row), F.struct("fetched_at", F.xxhash64(*row)))  # of equal times one, told by its hash
     return p.groupBy(key.alias("_key")).agg(newest.alias("x")).select("x.*")
 
 
@@ -101,9 +103,10 @@ def assembled(pages: DataFrame, redirects: DataFrame, least: int = 8, strip_pare
     p = p.withColumn("plain", markup.plain("definition"))
     p = p.where((F.length("plain") >= least) | X.forward_target(F.col("plain")).isNotNull() | (F.size("details") > 0))
     p = p.withColumn("word", fold("title")).join(redirect_aliases(redirects), "word", "left").drop("word")
-    # ranks are dense and unique; only (order, rank) pass the range shuffle of the sort
-    p = p.withColumn("redirect_aliases", F.coalesce("redirect_aliases", F.array().cast("array<string>"))).withColumn("pos", F.struct(X.ascii_lower(F.col("_stored")).alias("a"), F.col("_stored").alias("b"), F.col("url").alias("c")))
-    p = cut(p.withColumn("pos", F.xxhash64("pos")).drop("_stored"), "entries")
+    p = p.withColumn("redirect_aliases", F.coalesce("redirect_aliases", F.array().cast("array<string>")))
+    # of entries whose titles fold alike the last in this order is the one that forwards lead to
+    p = ranked(p, [X.ascii_lower(F.col("_stored")), F.col("_stored"), F.col("url"), F.col("definition")], "pos")
+    p = cut(p.select(F.col("pos").cast("bigint").alias("pos"), *[c for c in p.columns if c not in ("pos", "_stored")]), "entries")
     if strip_parenthetical:
         p = munged_titles(p)
     p = resolved(cut(p, "titles"))
@@ -112,8 +115,6 @@ def assembled(pages: DataFrame, redirects: DataFrame, least: int = 8, strip_pare
 
 def ordered(entries: DataFrame) -> DataFrame:
     """Entries with ``rank`` from 1 in ASCII-lower order of their titles, numbered without one task sorting all."""
-    from .index import ranked
-
     return ranked(entries, [X.ascii_lower(F.col("title")), F.col("title"), F.col("pos")], "rank")
 
 

@@ -32,6 +32,18 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return p.withColumn("_in", inside).join(F.broadcast(before), "_part").withColumn(name, F.col("_in") + F.col("_before")).select(*df.columns, name)
 
 
+def ranked_within(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """``df`` with its rank from 1 in its group under ``order``; a group may lie in any number of partitions."""
+    by = [F.col(group), *order]
+    p = _parted(df, by)
+    sizes = p.groupBy("_part", F.col(group).alias("_group")).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a group has no more rows here than there are partitions
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where("_before > 0").select("_part", "_group", "_before")
+    inside = F.row_number().over(Window.partitionBy("_part", group).orderBy(*[f"_o{i}" for i in range(1, len(by))]))
+    j = p.withColumn("_in", inside).join(before, (p["_part"] == before["_part"]) & p[group].eqNullSafe(before["_group"]), "left")
+    return j.withColumn(name, (F.col("_in") + F.coalesce("_before", F.lit(0))).cast("int")).select(*df.columns, name)
+
+
 def running_before(df: DataFrame, order: list[Column], size: Column, name: str) -> DataFrame:
     """``df`` with the sum of ``size`` over the rows before each under ``order``."""
     p = _parted(df.withColumn("_size", size), order)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ from ..functions import text as X
 from ..functions.keys import collapse, collapse_of, fold, unescape_of
 from ..functions.markup import bold_phrases, plain_inline, sanitize_inline
 from ..plans.config import LookupRules
+from .index import ranked_within
 
 # Words and categories that lookup words are made from or kept from.
 CHARACTERS = "characters"
@@ -259,8 +260,7 @@ def lookups(entries: DataFrame, rules: LookupRules = LookupRules()) -> Lookups:
     tails = clash.groupBy("word", "own").agg(F.max_by("target", "at").alias("target")).where("own <> word").join(heads.select("word", "shown"), "word").withColumn("rank", F.lit(1))
     tops = heads.select("word", F.col("word").alias("own"), F.col("title").alias("target"), "shown", F.lit(0).alias("rank"))
     rows = reduce(DataFrame.unionByName, [x.select("word", "own", "target", "shown", "rank") for x in (alone, tails, tops)])
-    order = Window.partitionBy("word").orderBy("rank", "own")
-    shared = rows.select(F.col("shown").alias("word"), F.row_number().over(order).alias("ord"), "target")
+    shared = ranked_within(rows, "word", [F.col("rank"), F.col("own")], "ord").select(F.col("shown").alias("word"), "ord", "target")
     return Lookups(accepted, shared, omitted)
 
 
@@ -271,14 +271,15 @@ def alias_forms(entries: DataFrame, found: Lookups) -> DataFrame:
     rows = t.unionByName(words).withColumn("folded", fold("form"))
     first = F.struct(F.lit(-1).cast("bigint").alias("pos"), F.lit(-1).alias("seq"))
     rows = rows.withColumn("at", F.coalesce("at", first)).groupBy("target", "folded").agg(F.min_by("form", "at").alias("form"), F.min("at").alias("at"))
-    return rows.select("target", (F.row_number().over(Window.partitionBy("target").orderBy("at")) - 1).alias("ord"), "form")
+    return ranked_within(rows, "target", [F.col("at.pos"), F.col("at.seq")], "ord").select("target", (F.col("ord") - 1).cast("int").alias("ord"), "form")
 
 
 def counts(entries: DataFrame, found: Lookups) -> DataFrame:
     """One row: entries, accepted aliases, shared words, omissions."""
-    parts = [once(entries).agg(F.count("*").alias("n_entries")), found.accepted.agg(F.count("*").alias("n_accepted")), found.shared.agg(F.count_if(F.col("ord") == 1).alias("n_shared")), found.omitted.agg(F.count("*").alias("n_omitted"))]
-    one = [p.withColumn("one", F.lit(1)) for p in parts]
-    return reduce(lambda a, b: a.join(b, "one"), one).drop("one")
+    names = ("n_entries", "n_accepted", "n_shared", "n_omitted")
+    parts = (once(entries), found.accepted, found.shared.where("ord = 1"), found.omitted)
+    each = [p.agg(*[F.count("*").alias(x) if x == name else F.lit(0).cast("bigint").alias(x) for x in names]) for name, p in zip(names, parts)]
+    return reduce(DataFrame.unionByName, each).agg(*[F.sum(x).alias(x) for x in names])
 
 
 def format_health(entries: DataFrame, found: Lookups) -> DataFrame:
@@ -287,8 +288,9 @@ def format_health(entries: DataFrame, found: Lookups) -> DataFrame:
     words = found.shared.groupBy("word").agg(F.count("*").alias("n")).withColumn("w", fold("word"))
     titles = e.select(fold("title").alias("w")).distinct().withColumn("is_title", F.lit(True))
     j = words.join(titles, "w", "left")
-    both = j.agg(F.coalesce(F.sum(F.when(F.col("is_title"), F.col("n") - 1).otherwise(F.col("n"))), F.lit(0)).alias("more"), F.count_if(F.col("is_title").isNull()).alias("extra"))
-    both = both.join(e.agg(F.count("*").alias("n_entries")))
+    more = j.agg(F.coalesce(F.sum(F.when(F.col("is_title"), F.col("n") - 1).otherwise(F.col("n"))), F.lit(0)).alias("more"), F.count_if(F.col("is_title").isNull()).alias("extra"), F.lit(0).cast("bigint").alias("n_entries"))
+    all_ = e.agg(F.lit(0).cast("bigint").alias("more"), F.lit(0).cast("bigint").alias("extra"), F.count("*").alias("n_entries"))
+    both = more.unionByName(all_).agg(*[F.sum(c).alias(c) for c in ("more", "extra", "n_entries")])
     rows = F.explode(F.array(F.struct(F.lit("Kindle").alias("format"), (F.col("n_entries") + F.col("more")).alias("n_records")), *[F.struct(F.lit(f).alias("format"), (F.col("n_entries") + F.col("extra")).alias("n_records")) for f in ("StarDict", "Kobo")]))
     return both.select("n_entries", rows.alias("r")).select("r.format", "n_entries", "r.n_records")
 

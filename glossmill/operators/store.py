@@ -38,7 +38,7 @@ def last_known_good(attempts: DataFrame, key: str = "pageid", order: str = "fetc
     place = F.struct("title", "url", "status", "error", F.col(order).alias("tried_at"))
     g = a.groupBy(key).agg(F.max_by(F.when(good, content), F.when(good, _time(a, order))).alias("g"), F.max_by(place, _time(a, order)).alias("p"))
     failed_later = ~F.coalesce(F.col("p.status"), F.lit("error")).isin(*KEPT)
-    return g.select(key, "p.title", "p.url", F.coalesce("g.status", F.lit("error")).alias("status"), "g.raw_html", "g.first_paragraph", F.when(F.col("g").isNull(), F.col("p.error")).otherwise(F.col("g.error")).alias("error"), F.when(failed_later & F.col("g").isNotNull(), F.coalesce("p.error", F.lit("error"))).alias("last_attempt_error"), F.col("p.tried_at").alias("fetched_at"))
+    return g.select(key, "p.title", "p.url", F.coalesce("g.status", F.lit("error")).alias("status"), "g.raw_json", "g.raw_html", "g.first_paragraph", F.when(F.col("g").isNull(), F.col("p.error")).otherwise(F.col("g.error")).alias("error"), F.when(failed_later & F.col("g").isNotNull(), F.coalesce("p.error", F.lit("error"))).alias("last_attempt_error"), F.col("p.tried_at").alias("fetched_at"))
 
 
 def listed_categories(listing: DataFrame) -> DataFrame:

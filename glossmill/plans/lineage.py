@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,12 @@ SHARED = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's, or a new one where none is set (tests)."""
-    folder = spark.conf.get(SHARED, None)
+    """The folder that all executors share: the session's, or a new one where none is set and the driver works alone (tests)."""
+    folder = spark.conf.get(SHARED, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="glossmill-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"{SHARED} must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="glossmill-")
         spark.conf.set(SHARED, folder)
     return folder.rstrip("/")
 

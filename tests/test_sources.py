@@ -23,6 +23,11 @@ def test_sqlite(spark, tmp_path):
     conn.close()
     df = read_sqlite(spark, path, "pages", 5)
     assert df.count() == 100 and df.where("in_scope = 1").count() == 50 and dict(df.dtypes) == {"pageid": "bigint", "title": "string", "in_scope": "bigint"}
+    some = read_sqlite(spark, path, "pages", 3, columns=["pageid", "title", "no such"])
+    assert some.columns == ["pageid", "title"]
+    few = some.where("pageid >= 20 AND pageid IN (10, 20, 30, 500) AND title IS NOT NULL AND title = 'T3'")
+    assert rows(few) == [(30, "T3")] and some.where("title > 'T98'").count() == 1
+    assert "Filter " not in few._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         read_sqlite(spark, path, "redirects")
     with pytest.raises(FileNotFoundError):
