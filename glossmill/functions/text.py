@@ -6,7 +6,7 @@ both are set where a text may hold more than ASCII.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -140,6 +140,18 @@ def band_colour(value: Column, bands: tuple[tuple[float, str], ...], rest: str)
     return out
 
 
+# Fixed value, the pattern of a line of a coverage summary: lines, per cent, module and file.
+COVERED = r"^\s*(\d+)\s+(\d+(?:\.\d+)?)%\s+\S+\s+\((.+)\)\s*$"
+
+
+def coverage(lines: DataFrame, root: str, without: str = "(?!)") -> DataFrame:
+    """(n_covered, n_lines, per_cent) over the lines (value) of files below ``root`` that don't match ``without``; null without any."""
+    size, share, path = (F.regexp_extract("value", COVERED, i) for i in (1, 2, 3))
+    mine = lines.where(F.col("value").rlike(COVERED) & path.startswith(root.rstrip("/") + "/") & ~path.rlike(without))
+    n = mine.agg(F.sum(F.bround(size.cast("int") * share.cast("double") / 100, 0)).cast("bigint").alias("n_covered"), F.sum(size.cast("bigint")).alias("n_lines"))
+    return n.select("n_covered", "n_lines", F.round(100 * F.col("n_covered") / F.col("n_lines")).cast("int").alias("per_cent"))
+
+
 def badge(label: Column, message: Column, colour: Column) -> Column:
     """A badge's JSON."""
     return F.to_json(F.struct(F.lit(1).alias("schemaVersion"), label.alias("label"), message.alias("message"), colour.alias("color")))

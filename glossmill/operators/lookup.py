@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ from ..functions import text as X
 from ..functions.keys import collapse, collapse_of, fold, unescape_of
 from ..functions.markup import bold_phrases, plain_inline, sanitize_inline
 from ..plans.config import LookupRules
-from .index import ranked_within
+from .index import ranked, ranked_within
 
 # Words and categories that lookup words are made from or kept from.
 CHARACTERS = "characters"
@@ -316,6 +316,39 @@ def quality_findings(found: Lookups) -> DataFrame:
     return one.unionByName(broad.select(F.lit("broad-multi-target-lookup").alias("kind"), F.col("word").alias("alias"), F.concat_ws("|", F.transform("x", lambda y: y.target)).alias("targets")))
 
 
+def single_aliases(found: Lookups, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """(target, ord, alias): the accepted words of each entry in order, from 1."""
+    a = found.accepted.where(~F.col("source").isin(*ignore)) if ignore else found.accepted
+    return ranked_within(a, "target", [F.col("at.pos"), F.col("at.seq")], "ord").select("target", "ord", "alias")
+
+
+def ordered_lines(found: Lookups) -> DataFrame:
+    """``debug_lines`` with their place from 1: without regard to case, equal ones by their own letters."""
+    return ranked(debug_lines(found).withColumn("folded", fold("line")), [F.col("folded"), F.col("line")], "ord").select("ord", "line")
+
+
+def first_lines(lines: DataFrame, order: list[Column], kind: str, most: int, level: str) -> DataFrame:
+    """(level, kind, ord, line): the first ``most`` of ``lines`` and, after them, how many more there are."""
+    top = lines.orderBy(*order).limit(most)
+    shown = top.select(F.row_number().over(Window.orderBy(*order)).alias("ord"), "line")  # no more than ``most`` rows
+    rest = lines.agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.lit(most + 1).alias("ord"), F.format_string("... %d more", F.col("n") - most).alias("line"))
+    return shown.unionByName(rest).select(F.lit(level).alias("level"), F.lit(kind).alias("kind"), "ord", "line")
+
+
+def health_lines(entries: DataFrame, found: Lookups, most: int = 25) -> DataFrame:
+    """(level, kind, ord, line) of a health report: records of each format, counts, and the first findings of each kind."""
+    from . import checks
+
+    formats = format_health(entries, found).select(F.format_string("%s: entries=%d, lookup records=%d", "format", "n_entries", "n_records").alias("line"))
+    n = counts(entries, found)
+    totals = n.select(F.explode(F.array(*[F.format_string(f"{label}: %d", c).alias("line") for label, c in (("canonical entries", "n_entries"), ("single-target aliases", "n_accepted"), ("multi-target lookups", "n_shared"), ("omitted aliases", "n_omitted"))])).alias("line"))
+    audit = checks.audit(entries).select(F.concat_ws(": ", "kind", "title", "detail").alias("line"))
+    quality = quality_findings(found).select(F.concat_ws(": ", "kind", "alias", "targets").alias("line"))
+    line = [fold(F.col("line")), F.col("line")]
+    parts = [first_lines(totals, line, "counts", 10, "info"), first_lines(formats, line, "formats", 10, "info"), first_lines(audit, line, "audit", most, "warning"), first_lines(quality, line, "alias quality", most, "warning")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def debug_lines(found: Lookups) -> DataFrame:
     """(line) of every decision about lookup words."""
     a = found.accepted.select(F.format_string('alias: alias="%s" main="%s" source=%s', "alias", "target", "source").alias("line"))

@@ -96,3 +96,28 @@ def metadata_upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Key and value rows with ``incoming`` winning."""
     new = incoming.select("meta_key", "meta_value").groupBy("meta_key").agg(F.max("meta_value").alias("meta_value"))
     return stored.select("meta_key", "meta_value").join(new.select("meta_key"), "meta_key", "left_anti").unionByName(new)
+
+
+def fetched_pages(stored: DataFrame, fetched: DataFrame) -> DataFrame:
+    """``stored`` with pages that were fetched: they are in scope again and no longer have the kept error of an earlier attempt."""
+    fresh = fetched.withColumn("in_scope", F.lit(1)).withColumn("last_attempt_error", F.lit(None).cast("string"))
+    return upsert(stored, fresh).select(*stored.columns)
+
+
+def replaced_redirects(stored: DataFrame, listing: DataFrame | None, titles: DataFrame, most: bool = False) -> DataFrame:
+    """The redirects after a listing: all of them anew, ``stored`` as it was if the listing failed (None), or, of a
+    listing that was stopped early (``most``), ``stored`` with the listed sources replaced."""
+    if listing is None:
+        return stored
+    new = classified_redirects(listing, titles)
+    if most:
+        new = stored.join(new.select("source_title").distinct(), "source_title", "left_anti").select(*stored.columns).unionByName(new, allowMissingColumns=True)
+    return new
+
+
+def run_counts(targets: DataFrame, stored: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One row: pages fetched, of these empty and failed, and targets skipped as they were ok."""
+    got = fetched.agg(F.count("*").alias("n_fetched"), F.count_if(F.col("status") == "empty").alias("n_empty"), F.count_if(F.col("status") == "error").alias("n_failed"), F.lit(0).cast("bigint").alias("n_skipped"))
+    kept = targets.select("pageid").distinct().join(still_to_fetch(targets, stored).select("pageid"), "pageid", "left_anti")
+    skipped = kept.agg(*[F.lit(0).cast("bigint").alias(c) for c in ("n_fetched", "n_empty", "n_failed")], F.count("*").alias("n_skipped"))
+    return got.unionByName(skipped).agg(*[F.sum(c).alias(c) for c in ("n_fetched", "n_empty", "n_failed", "n_skipped")])

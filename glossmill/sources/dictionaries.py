@@ -221,13 +221,35 @@ def kindle_blocks(entries: DataFrame, forms: DataFrame, source_name: str) -> Dat
     return j.select("rank", F.concat(head, index.rendered(source_name), F.lit("</idx:short></idx:entry>")).alias("block"))
 
 
-def write_kindle(path: str | Path, title: str, blocks: DataFrame, sections: DataFrame) -> int:
-    """The XHTML source of an e-reader's dictionary with section breaks; returns the number of entries."""
+def kindle_duplicates(entries: DataFrame, shared: DataFrame, source_name: str) -> DataFrame:
+    """(rank, word, ord, block): under each shared word a further record of each of its entries, beside the first one's
+    own record; the word's own entry needs none."""
+    e = entries.select("title", "rank", index.rendered(source_name).alias("html"))
+    first = shared.where("ord = 1").select("word", F.col("target").alias("first")).join(e.select(F.col("title").alias("first"), "rank"), "first")
+    each = shared.join(e.drop("rank"), F.col("title") == F.col("target")).where(~((F.col("ord") == 1) & (fold("word") == fold("target"))))
+    j = each.join(first.drop("first"), "word")
+    name = F.concat(F.lit("entry-"), F.col("rank").cast("string"), F.lit("-lookup-"), F.hex(F.xxhash64("word")), F.lit("-"), (F.col("ord") - 1).cast("string"))
+    head = F.concat(F.lit('<idx:entry name="default" scriptable="yes" spell="yes" id="'), name, F.lit('"><a id="'), name, F.lit('"></a><idx:orth value="'), index.escaped(F.col("word"), True), F.lit('"><b>'), index.escaped(F.col("title"), True), F.lit("</b></idx:orth><idx:short>"))
+    return j.select("rank", "word", "ord", F.concat(head, F.col("html"), F.lit("</idx:short></idx:entry>")).alias("block"))
+
+
+def missing_headwords(rows: DataFrame, synonyms: DataFrame, required: DataFrame) -> DataFrame:
+    """(word) of ``required`` that is neither a headword nor a synonym of an index; letters must be equal."""
+    known = rows.select("word").unionByName(synonyms.select("word"))
+    return required.select("word").distinct().join(known.distinct(), "word", "left_anti")
+
+
+def write_kindle(path: str | Path, title: str, blocks: DataFrame, sections: DataFrame, more: DataFrame | None = None) -> int:
+    """The XHTML source of an e-reader's dictionary with section breaks, each entry followed by the further records of
+    shared words; returns the number of records."""
     head = f'<?xml version="1.0" encoding="utf-8"?>\n<!DOCTYPE html>\n<html xmlns="http://www.w3.org/1999/xhtml" xmlns:idx="http://www.mobipocket.com/idx" xmlns:mbp="http://www.mobipocket.com/mbp"><head><title>{html.escape(title)}</title></head><body><mbp:frameset>\n'
     n = 0
+    rows = blocks.join(sections.select("rank", "label"), "rank", "left").withColumn("word", F.lit(None).cast("string")).withColumn("ord", F.lit(0))
+    if more is not None:
+        rows = rows.unionByName(more.select("rank", "block", F.lit(None).cast("string").alias("label"), "word", "ord"))
     with open(path, "w", encoding="utf-8") as out:
         out.write(head)
-        for r in blocks.join(sections.select("rank", "label"), "rank", "left").orderBy("rank").toLocalIterator():
+        for r in rows.orderBy("rank", F.col("word").asc_nulls_first(), "ord").toLocalIterator():
             if r.label:
                 name = "number" if r.label == "#" else html.escape(r.label, quote=True)
                 out.write(f'<mbp:pagebreak /><h1 class="letter-heading" id="letter-{name}">{"0-9" if r.label == "#" else r.label}</h1>\n')

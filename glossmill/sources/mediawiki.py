@@ -43,11 +43,20 @@ def retry_after(value: str | None) -> float | None:
         return None
 
 
-def assert_allowed(api: str, agent: str) -> None:
-    """Raises PermissionError if the site's robots.txt keeps ``agent`` from the API."""
+def assert_allowed(api: str, agent: str, timeout: float = 30.0) -> None:
+    """Raises PermissionError if the site's robots.txt keeps ``agent`` from the API; without such a file all is allowed."""
     parts = urllib.parse.urlsplit(api)
-    robots = urllib.robotparser.RobotFileParser(f"{parts.scheme}://{parts.netloc}/robots.txt")
-    robots.read()
+    robots = urllib.robotparser.RobotFileParser()
+    try:
+        with urllib.request.urlopen(f"{parts.scheme}://{parts.netloc}/robots.txt", timeout=timeout) as answer:
+            robots.parse(answer.read().decode("utf-8", "replace").splitlines())
+    except urllib.error.HTTPError as e:
+        if e.code in (401, 403):
+            robots.disallow_all = True
+        elif e.code >= 500:
+            raise
+        else:
+            robots.allow_all = True
     if not robots.can_fetch(agent, api):
         raise PermissionError(f"robots.txt disallows {api} for {agent}")
 

@@ -12,6 +12,7 @@ from glossmill.plans.config import project_from
 from glossmill.sources import dictionaries as D
 from glossmill.sources import mediawiki as W
 from glossmill.sources.sqlite import read_sqlite
+from pyspark.sql import functions as F
 
 
 def test_sqlite(spark, tmp_path):
@@ -86,6 +87,11 @@ class Handler(BaseHTTPRequestHandler):
     failed = 0
 
     def do_GET(self):
+        if self.path == "/robots.txt":
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b"User-agent: banned\nDisallow: /\n")
+            return
         q = {k: v[0] for k, v in parse_qs(urlsplit(self.path).query).items()}
         if q.get("list") == "categorymembers":
             first = "cmcontinue" not in q
@@ -127,6 +133,50 @@ def test_wiki(spark):
         server.shutdown()
 
 
+def test_crawl(spark, tmp_path):
+    from glossmill import crawl
+    from glossmill.sources import files
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    api, folder = f"http://127.0.0.1:{server.server_port}/api.php", str(tmp_path / "store")
+    o = {"delay": 0, "backoff": 0.01, "retries": 1}
+    try:
+        with pytest.raises(PermissionError):
+            crawl.run(spark, folder, api, ("X",), "banned", **o)
+        assert {k: v.count() for k, v in files.open_store(spark, folder).items()} == {"pages": 0, "redirects": 0, "crawl_meta": 0}
+        counts = crawl.run(spark, folder, api, ("X", "Y"), "test", batch=1, **o)
+        assert counts == {"n_fetched": 2, "n_empty": 0, "n_failed": 0, "n_skipped": 0, "redirects_complete": 1}
+        pages = files.open_store(spark, folder)["pages"]
+        assert rows(pages, "pageid", "title", "status", "first_paragraph", "in_scope", "source_category") == [(1, "A", "ok", "x", 1, "X, Y"), (2, "B", "ok", "x", 1, "X, Y")]
+        assert rows(files.open_store(spark, folder)["redirects"], "source_title", "status") == [("Old", "ignored"), ("alias", "error")]
+        files.snapshot(spark, folder, str(tmp_path / "kept"), 1)
+        again = crawl.run(spark, folder, api, ("X",), "test", redirects=False, **o)
+        assert again["n_fetched"] == 0 and again["n_skipped"] == 2
+        assert rows(files.open_store(spark, folder)["pages"], "source_category") == [("X",), ("X",)]
+        assert rows(spark.read.parquet(f"{tmp_path}/kept/v=1/pages.parquet"), "source_category") == [("X, Y",), ("X, Y",)]
+    finally:
+        server.shutdown()
+        server.server_close()
+    # after a failed listing the former redirects stay
+    with pytest.raises(Exception, match="refused|urlopen|Connection"):
+        crawl.run(spark, folder, api, ("X",), "test", **o)
+    assert files.open_store(spark, folder)["redirects"].count() == 2
+
+
+def test_store_tables(spark, tmp_path):
+    from glossmill.sources import files
+
+    place = str(tmp_path / "pages.parquet")
+    spark.createDataFrame([(1, "A", "ok")], "pageid bigint, title string, status string").write.parquet(place)
+    p = files.open_store(spark, str(tmp_path))["pages"]
+    assert rows(p, "pageid", "title", "in_scope", "last_attempt_error") == [(1, "A", 1, None)]
+    files.replace(p.unionByName(p.withColumn("pageid", F.lit(2).cast("bigint"))), place)
+    assert files.open_store(spark, str(tmp_path))["pages"].count() == 2 and not (tmp_path / "pages.parquet.old").exists()
+    (tmp_path / "pages.parquet").rename(tmp_path / "pages.parquet.old")  # as a run leaves it that is stopped in between
+    assert files.open_store(spark, str(tmp_path))["pages"].count() == 2
+
+
 def test_config():
     data = {"fandom": "f", "title": "My Dict!", "author": "a", "source_name": "s", "categories": ["C"], "database_path": "d", "build_dir": "b", "sidebar_fields": [{"source": "x", "label": "Aliases", "alias": True}], "title_aliases": {"suffixes": [" Box"], "component_ignore_words": ["Box"]}, "max_summary_length": 500}
     p = project_from(data)

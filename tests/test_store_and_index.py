@@ -90,6 +90,46 @@ def test_mentions_by_the_rule(make):
     assert (0, "Delta Epsilon") in got and (50, "Power") in got and (2, "eBook Reader Guild") in got
 
 
+def test_redirects_are_replaced(make):
+    from glossmill.operators import store
+
+    old = make("redirects", [{"source_title": "a", "target_title": "T", "status": "ok"}, {"source_title": "b", "target_title": "T", "status": "ok"}])
+    new = make("redirects", [{"source_title": "a", "target_title": "t"}, {"source_title": "c"}])
+    titles = make("pages", [{"pageid": 1, "title": "T"}])
+    show = lambda df: rows(df, "source_title", "target_title", "status")
+    assert store.replaced_redirects(old, None, titles) is old
+    assert show(store.replaced_redirects(old, new, titles)) == [("a", "T", "ok"), ("c", None, "error")]
+    assert show(store.replaced_redirects(old, new, titles, most=True)) == [("a", "T", "ok"), ("b", "T", "ok"), ("c", None, "error")]
+    kept = make("pages", [{"pageid": 1, "title": "T", "in_scope": 0, "last_attempt_error": "boom", "status": "ok"}, {"pageid": 2, "title": "U", "in_scope": 0}])
+    fresh = make("pages", [{"pageid": 1, "title": "T", "status": "ok", "fetched_at": __import__("datetime").datetime(2024, 1, 1)}])
+    assert rows(store.fetched_pages(kept, fresh), "pageid", "in_scope", "last_attempt_error") == [(1, 1, None), (2, 0, None)]
+
+
+def test_ranks_in_groups_that_lie_in_many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # partitions of a table as small as this one would be united
+    try:
+        _ranks_in_many_partitions(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _ranks_in_many_partitions(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2010, F.col("id").cast("string")).alias("g"), (F.col("id") * 7919 % 3001).alias("x"))
+    got = index.ranked_within(df, "g", [F.col("x")], "r").collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r.x):
+        by.setdefault(r.g, []).append(r.r)
+    assert len(got) == 3000 and all(v == list(range(1, len(v) + 1)) for v in by.values()) and len(by["hot"]) == 2000 and len(by[None]) == 990
+    parts = index._parted(df, [F.col("g"), F.col("x")])
+    assert max(r["count"] for r in parts.where("g = 'hot'").groupBy("_part").count().collect()) < 1500  # no task has the whole group
+
+
+def test_coverage(spark):
+    lines = ["lines   cov%   module   (path)", "  100    50%   a.b   (/r/a/b.py)", "   40   12.5%   a.c   (/r/a/c.py)", "  900   1%   z   (/other/z.py)", "   10   100%   a.t   (/r/a/tests/t.py)"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert rows(X.coverage(df, "/r/a", "/tests/")) == [(55, 140, 39)] and rows(X.coverage(df.limit(0), "/r")) == [(None, None, None)]
+
+
 def test_page_latest_stores_all_pages(make, monkeypatch, tmp_path):
     from glossmill import queries
     from glossmill.operators import store
