@@ -65,9 +65,15 @@ def valid_headword(word: Column) -> Column:
 
 def index_rows(words: DataFrame, word: str = "word", definition: str = "definition") -> DataFrame:
     """(word, ordinal, offset, size) of an index with running byte offsets."""
-    w = words.select(F.col(word).alias("word"), F.octet_length(definition).alias("size"))
-    w = running_before(w, index_order(F.col("word")), F.col("size"), "offset")
-    return ranked(w, index_order(F.col("word")), "ordinal").select("word", (F.col("ordinal") - 1).alias("ordinal"), "offset", "size")
+    order = index_order(F.col("word"))
+    p = _parted(words.select(F.col(word).alias("word"), F.octet_length(definition).alias("size")), order)
+    totals = p.groupBy("_part").agg(F.count("*").alias("_n"), F.sum("size").alias("_size"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_n", "_size")])  # a row for each partition
+    inside = Window.partitionBy("_part").orderBy(*[f"_o{i}" for i in range(len(order))])
+    sums = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    p = p.withColumn("_row", F.row_number().over(inside) - 1).withColumn("_bytes", sums).join(F.broadcast(before), "_part")
+    return p.select("word", (F.col("_row") + F.col("_n")).alias("ordinal"), (F.col("_bytes") + F.col("_size")).alias("offset"), "size")
 
 
 def synonym_rows(forms: DataFrame, index: DataFrame) -> DataFrame:

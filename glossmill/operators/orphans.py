@@ -56,7 +56,7 @@ def references(redirects: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def parents(pages: DataFrame, list_pages: DataFrame, redirects: DataFrame, deletions: DataFrame) -> DataFrame:
-    """One row per title key: is_list, redirect_from, page_from, gone (its deletions, overlapping ones united).
+    """One row per title key: is_list, redirect_from, page_from, gone (its deletions, overlapping ones united); null where there is none.
 
     All sides are reduced by partial aggregation before they are shuffled; ``gone`` has disjoint intervals only.
     """
@@ -66,7 +66,7 @@ def parents(pages: DataFrame, list_pages: DataFrame, redirects: DataFrame, delet
     source = pairs.where(F.col("to").isNull() | (F.col("key") != F.col("to"))).groupBy("key").agg(F.min("fetched_at").cast("timestamp_ntz").alias("redirect_from"))
     source = source.select("key", F.lit(False).alias("is_list"), "redirect_from", F.lit(None).cast("timestamp_ntz").alias("page_from"))
     have = page.unionByName(listed).unionByName(source).where("key IS NOT NULL").groupBy("key").agg(F.max("is_list").alias("is_list"), F.min("redirect_from").alias("redirect_from"), F.min("page_from").alias("page_from"))
-    return have.join(deletion_intervals(deletions), "key", "left")
+    return have.join(deletion_intervals(deletions), "key", "full")  # a title that was deleted was there, crawled or not
 
 
 def deletion_intervals(deletions: DataFrame) -> DataFrame:

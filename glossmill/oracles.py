@@ -248,3 +248,9 @@ SQL["term_status"] = f"""WITH {_LOOKUPS}, terms AS (SELECT unnest(['Carl', 'Gole
  fo AS (SELECT *, row_number() OVER (PARTITION BY lower(alias) ORDER BY target DESC, spot DESC) AS rn FROM accepted),
  x AS (SELECT term, s_word, s_targets, ct.title AS c_title, fo.alias AS a_form, fo.target AS a_target FROM terms LEFT JOIN s ON s.w = lower(term) LEFT JOIN ct ON ct.word = lower(term) LEFT JOIN fo ON lower(fo.alias) = lower(term) AND fo.rn = 1)
 SELECT term, CASE WHEN s_word IS NOT NULL THEN 'multi-target' WHEN c_title IS NOT NULL THEN 'canonical' WHEN a_form IS NOT NULL THEN 'alias' ELSE 'missing' END AS status, coalesce(s_word, c_title, a_form, term) AS shown, coalesce(s_targets, c_title, a_target, '') AS targets FROM x"""
+SQL["alias_lists"] = f"WITH {_LOOKUPS} SELECT target, row_number() OVER (PARTITION BY target ORDER BY spot)::INT AS ord, alias FROM accepted"
+SQL["duplicate_records"] = f"WITH {_LOOKUPS} SELECT h.pos AS rank, s.word, s.ord FROM shared s JOIN shared f ON f.word = s.word AND f.ord = 1 JOIN e h ON h.title = f.target JOIN e g ON g.title = s.target WHERE NOT (s.ord = 1 AND lower(s.word) = lower(s.target))"
+SQL["lookup_order"] = f"SELECT row_number() OVER (ORDER BY lower(line), line)::INT AS ord, line FROM ({SQL['lookup_lines']})"
+SQL["p2_report"] = f"""WITH {_ORPHANS}, x AS (SELECT j.*, CASE WHEN alive THEN NULL WHEN EXISTS (SELECT 1 FROM d WHERE d.k = j.to_key AND deleted_at <= moment AND (restored_at IS NULL OR restored_at > moment)) THEN 'deleted'
+  WHEN r.since > moment OR p.since > moment THEN 'late' ELSE 'missing' END AS cause FROM j LEFT JOIN r ON r.k = j.to_key LEFT JOIN p ON p.k = j.to_key)
+SELECT rec_table, strftime(moment, '%Y-%m') AS ref_month, count(*) AS n_references, count(cause) AS n_orphans, count(*) FILTER (cause = 'missing') AS n_missing, count(*) FILTER (cause = 'deleted') AS n_deleted, count(*) FILTER (cause = 'late') AS n_late FROM x GROUP BY 1, 2"""

@@ -16,6 +16,7 @@ from .functions import text as X
 from .operators import checks, entries, index, links, lookup, orphans, store, summaries
 from .plans.config import LookupRules
 from .plans.lineage import cut
+from .sources import dictionaries
 from .sources.tables import host_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,6 +250,25 @@ def index_violations(s: SparkSession, d: str) -> DataFrame:
     return index.index_violations(rows, index.synonym_rows(forms, rows), size)
 
 
+def alias_lists(s: SparkSession, d: str) -> DataFrame:
+    return lookup.single_aliases(_lookups(s, d)[1])
+
+
+def duplicate_records(s: SparkSession, d: str) -> DataFrame:
+    e, found = _lookups(s, d)
+    e = lookup.once(e)
+    return dictionaries.kindle_duplicates(e.withColumn("rank", F.col("pos")), found.shared, "Delver Wiki").select("rank", "word", "ord")
+
+
+def lookup_order(s: SparkSession, d: str) -> DataFrame:
+    return lookup.ordered_lines(_lookups(s, d)[1])
+
+
+def health_lines(s: SparkSession, d: str) -> DataFrame:
+    e, found = _lookups(s, d)
+    return lookup.health_lines(_entries(s, d), found)
+
+
 def ranks(s: SparkSession, d: str) -> DataFrame:
     return entries.ordered(lookup.once(table(s, d, "entries")).select("pos", "title"))
 
@@ -352,7 +372,7 @@ QUERIES: dict[str, Query] = {
     "possessive_aliases": _alias_rows(_possessive_rows),
 } | {f.__name__: f for f in (
     entries_scan, artifacts, text_forms, first_sentences, parentheticals, forwards, forwards_resolved, assembled, out_of_scope,
-    lookup_accepted, lookup_shared, lookup_omitted, lookup_forms, lookup_counts, format_health, alias_quality, term_status, lookup_lines, usability,
+    lookup_accepted, lookup_shared, lookup_omitted, lookup_forms, lookup_counts, format_health, alias_quality, term_status, lookup_lines, usability, alias_lists, duplicate_records, lookup_order, health_lines,
     page_latest, known_good, scope_synced, resume, redirect_statuses, crawl_counts, listing_categories, pages_per_category, title_chunks, metadata,
     audit_findings, audit_counts, audit_severity, cleanup, title_collisions,
     index_rows, index_synonyms, index_violations, ranks, sections, shards, headwords, definitions, combined,
