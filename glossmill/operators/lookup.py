@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -217,12 +217,17 @@ def component_candidates(entries: DataFrame, raw: DataFrame, rules: LookupRules)
 
 @dataclass(frozen=True)
 class Lookups:
-    """accepted (target, alias, source, at), shared (word, ord, target), omitted (alias, target, source, reason)."""
+    """accepted (target, alias, source, at), unordered (word, own, target, shown, rank), shared (word, ord, target), omitted (alias, target, source, reason)."""
 
     accepted: DataFrame
-    shared: DataFrame
+    unordered: DataFrame
     omitted: DataFrame
 
+    @cached_property
+    def shared(self) -> DataFrame:
+        """Ordering writes a table, so only who asks for it pays."""
+        return ranked_within(self.unordered, "word", [F.col("rank"), F.col("own")], "ord").select(F.col("shown").alias("word"), "ord", "target")
+
 
 def candidates(entries: DataFrame, rules: LookupRules) -> DataFrame:
     """All candidates with ``at`` (their place), folded words and titles, and why they are omitted, if so by themselves."""
@@ -260,8 +265,7 @@ def lookups(entries: DataFrame, rules: LookupRules = LookupRules()) -> Lookups:
     tails = clash.groupBy("word", "own").agg(F.max_by("target", "at").alias("target")).where("own <> word").join(heads.select("word", "shown"), "word").withColumn("rank", F.lit(1))
     tops = heads.select("word", F.col("word").alias("own"), F.col("title").alias("target"), "shown", F.lit(0).alias("rank"))
     rows = reduce(DataFrame.unionByName, [x.select("word", "own", "target", "shown", "rank") for x in (alone, tails, tops)])
-    shared = ranked_within(rows, "word", [F.col("rank"), F.col("own")], "ord").select(F.col("shown").alias("word"), "ord", "target")
-    return Lookups(accepted, shared, omitted)
+    return Lookups(accepted, rows, omitted)
 
 
 def alias_forms(entries: DataFrame, found: Lookups) -> DataFrame:
