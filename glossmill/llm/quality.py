@@ -6,10 +6,11 @@ Their profiles of prose per language are sums over all documents' lines of prose
 both distributions of each text are compared with its language's profile by Jensen-Shannon divergence, and the text
 gets the nearest structural profile in the space of its shares of lines, its divergences and its repetition.
 
-The structural profiles are centres that begin at SEEDS. Those of lists, tables and junk are fitted to the data: of
-SAMPLE documents, those with the smallest hashes, the ones that are clearly nearest to a centre move it to the mean of
-them and of its seed, which counts as PRIOR documents, until nothing changes or ROUNDS are over. Prose, to which most
-texts belong, stays where it is: its centre fitted as well would move every border with it. All else covers all documents.
+The structural profiles are centres that begin at SEEDS. Those of lists, tables and junk are fitted to the data: of all
+documents, the ones that are clearly nearest to a centre move it to the mean of them and of its seed, which counts as
+PRIOR documents and a share of all at least, until nothing changes or ROUNDS are over. Each round sums up the coordinates
+where they are, as whole numbers, so that neither order nor partitions matter. Prose, to which most texts belong, stays
+where it is: its centre fitted as well would move every border with it.
 
 Defined cases: null, empty and blank texts have counts of zero, null ratios and no profile, and are no cases; all
 texts are read whole; the language is the one whose function words fit best, so that a null or wrong ``lang``
@@ -33,10 +34,11 @@ from ..plans.lineage import cut
 LANGUAGES = ("en", "de", "fr", "es")
 KINDS = ("prose", "list", "table", "junk")
 CLASSES = ("lower", "upper", "digit", "space", "stop", "quote", "hyphen", "bracket", "cell", "other")
-SAMPLE = 20_000  # documents that the structural profiles are fitted to, at most
-PRIOR = 200  # documents that a profile's seed counts for
+PRIOR = 200  # documents that a profile's seed counts for, at least
+PRIOR_SHARE = 0.01  # and of all documents: else seeds would fade, and centres go together, as a table grows
 CLEAR = 0.5  # a text is clearly a centre's if its squared distance is below this share of that to the next one
 ROUNDS = 20
+UNIT = 1 << 30  # coordinates are summed up as multiples of 1 / UNIT
 
 # Characters of the classes that aren't told by Unicode alone.
 _SIGNS = {4: ".,;:!?…", 5: "'\"“”‘’«»„", 6: "-–—", 7: "()", 8: "|\t<>{}=[]/\\_^~#*+@$%&§¿"}
@@ -351,7 +353,8 @@ _NAMES = list(SEEDS)
 _KIND = {"prose": "prose", "prose with an insertion": "prose", "list": "list", "list with an introduction": "list", "table": "table", "table with an introduction": "table"}
 
 STATS = "n_chars_read bigint, n_words bigint, n_lines bigint, mean_word_length double, symbol_ratio double, punctuated_line_share double, common_word_share double, word_variety double, best_lang string, word_divergence double, class_divergence double, prose_share double, list_share double, table_share double, junk_share double, profile string"
-_NEEDED = ("n_words", "n_known", "variety", "capitals", "best_lang", "shares", "words", "classes")
+_PLACED = STATS.replace("profile string", "varied double")
+_PLACE = (*(f"{k}_share" for k in KINDS), "word_divergence", "class_divergence", "varied")  # a text's coordinates
 
 
 _LISTS = ("shares", "words", "classes")
@@ -363,6 +366,42 @@ def _rows_of(lists: pa.Array) -> np.ndarray:
     return flat.reshape(len(lists) - lists.null_count, -1)
 
 
+def distances(places: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all texts from each centre."""
+    out = np.zeros((len(centres), len(places)))
+    for weight, of_centres, of_texts in zip(_WEIGHTS, centres.T, places.T):
+        out += weight * (of_centres[:, None] - of_texts) ** 2
+    return out
+
+
+def clear_sums(places: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """For each centre the number of texts that are clearly its own, and the sums of their coordinates in UNITs; the last
+    row has those that are clearly no one's."""
+    far = distances(places, centres)
+    first, second = np.partition(far, 1, axis=0)[:2]
+    at, k = np.where(first < CLEAR * second, far.argmin(0), len(centres)), len(centres) + 1
+    units = np.rint(places * UNIT)  # their sums are exact for 2^22 texts at once and more
+    return np.stack([np.bincount(at, minlength=k), *(np.bincount(at, x, k) for x in units.T)], 1).astype(np.int64)
+
+
+def clear_sums_of(placed: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """The same of a table of coordinates; to the driver comes one row for each centre."""
+    shape = len(centres) + 1, len(_PLACE) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(shape, np.int64)
+        for batch in batches:
+            out += clear_sums(np.column_stack([batch[k].to_numpy() for k in _PLACE]), centres)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(out)), pa.int64()), *map(pa.array, out.T)], names=["centre", "n", *_PLACE])
+
+    rows = placed.select(*_PLACE).mapInArrow(run, ", ".join(f"{k} bigint" for k in ("centre", "n", *_PLACE)))
+    sums = [F.sum(F.col(k).cast("decimal(19,0)")) for k in ("n", *_PLACE)]
+    out = np.zeros(shape)
+    for centre, *values in rows.groupBy("centre").agg(*sums).collect():
+        out[centre] = [float(x) for x in values]
+    return out
+
+
 class Profiles:
     """Prose profiles of the languages, and the structural centres."""
 
@@ -384,26 +423,20 @@ class Profiles:
         varied = np.where(np.array(rows["n_words"]) >= 30, varied, np.maximum(varied, 0.7))
         return np.column_stack([rows["shares"], wd, cd, varied])
 
-    def nearest(self, places: np.ndarray) -> np.ndarray:
-        return (_WEIGHTS * (self.centres[None] - places[:, None]) ** 2).sum(2).argmin(1)
-
-    def fit(self, places: np.ndarray) -> None:
-        """Centres other than prose's as means of the texts that are clearly theirs and of their seeds."""
+    def fit(self, places, clear=clear_sums) -> None:
+        """Centres other than prose's as means of the texts that are clearly theirs and of their seeds; ``clear`` sums up
+        what ``places`` holds."""
         seeds, free = self.centres.copy(), np.array([_KIND.get(k) != "prose" for k in _NAMES])
         for _ in range(ROUNDS):
-            far = (_WEIGHTS * (self.centres[None] - places[:, None]) ** 2).sum(2)
-            near = np.partition(far, 1, axis=1)
-            clear = near[:, 0] < CLEAR * near[:, 1]
-            at, some = far.argmin(1)[clear], places[clear]
-            n = np.bincount(at, minlength=len(seeds))[:, None]
-            sums = np.stack([np.bincount(at, some[:, j], len(seeds)) for j in range(some.shape[1])], 1)
-            before, self.centres = self.centres, np.where(free[:, None], (PRIOR * seeds + sums) / (PRIOR + n), seeds)
+            found = clear(places, self.centres)
+            n, sums, prior = found[:-1, :1], found[:-1, 1:] / UNIT, max(PRIOR, PRIOR_SHARE * found[:, 0].sum())
+            before, self.centres = self.centres, np.where(free[:, None], (prior * seeds + sums) / (prior + n), seeds)
             if np.allclose(before, self.centres):
                 break
 
 
-def _judge(profiles: Profiles):
-    fields = [(f.split()[0], _ARROW[f.split()[1]]) for f in STATS.split(", ")]
+def _place(profiles: Profiles):
+    fields = [(f.split()[0], _ARROW[f.split()[1]]) for f in _PLACED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,12 +448,11 @@ def _judge(profiles: Profiles):
             if full:
                 some = {k: [rows[k][i] for i in full] for k in rows} | {k: _rows_of(batch[k]) for k in _LISTS}
                 places = profiles.places(some)
-                names = [_KIND.get(_NAMES[k], "junk") for k in profiles.nearest(places)]
                 ratio = lambda a, b: [x / y if y else None for x, y in zip(some[a], some[b])]
                 found = {
                     "mean_word_length": ratio("letters_in_words", "n_words"), "symbol_ratio": ratio("symbols", "solid"), "punctuated_line_share": ratio("n_ended", "n_lines"),
                     "common_word_share": ratio("n_known", "n_words"), "word_variety": [v if n else None for v, n in zip(some["variety"], some["n_words"])], "best_lang": some["best_lang"],
-                    "word_divergence": places[:, 4].tolist(), "class_divergence": places[:, 5].tolist(), "profile": names,
+                    "word_divergence": places[:, 4].tolist(), "class_divergence": places[:, 5].tolist(), "varied": places[:, 6].tolist(),
                 } | {f"{k}_share": some["shares"][:, j].tolist() for j, k in enumerate(KINDS)}
                 for k, values in found.items():
                     for i, v in zip(full, values):
@@ -430,11 +462,25 @@ def _judge(profiles: Profiles):
     return run
 
 
-def quality(documents: DataFrame, common_words: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def _nearest(centres: np.ndarray):
+    """The profile of texts by their coordinates; none without them."""
+    names = np.array([_KIND.get(k, "junk") for k in _NAMES], object)
+
+    def run(*columns: pa.Array) -> pa.Array:
+        full = columns[-1].is_valid().to_numpy(zero_copy_only=False)
+        places = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])[full]
+        out = np.full(len(full), None, object)
+        out[full] = names[distances(places, centres).argmin(0)]
+        return pa.array(out, pa.string())
+
+    return F.arrow_udf(run, "string")
+
+
+def quality(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """(doc_id, statistics, profile) of each document.
 
-    To the driver come the word list (a fixed table), the profiles (four languages by its length), and ``sample``
-    documents' counts, without their texts.
+    To the driver come the word list (a fixed table), the profiles (four languages by its length), and each round's
+    sums for the centres.
     """
     lexicon = Lexicon([tuple(r) for r in common_words.where(F.col("lang").isin(*LANGUAGES) & F.col("word").isNotNull()).select("lang", "word", "freq_rank").collect()])
     measured = cut(documents.select("doc_id", "text").mapInArrow(_measure(lexicon), _MEASURED), "measured")
@@ -446,10 +492,9 @@ def quality(documents: DataFrame, common_words: DataFrame, sample: int = SAMPLE)
         for lang, slot, n in sums.collect():
             into[lang][slot] = n
     profiles = Profiles(words, classes)
-    fitted = docs.where("shares IS NOT NULL").select(F.xxhash64("doc_id", "n_chars_read").alias("h"), *_NEEDED).orderBy("h", "n_chars_read", "n_words").limit(sample).drop("h").toArrow()
-    if fitted.num_rows:
-        profiles.fit(profiles.places({k: _rows_of(fitted[k].combine_chunks()) if k in _LISTS else fitted[k].to_pylist() for k in _NEEDED}))
-    return docs.drop("of").mapInArrow(_judge(profiles), f"doc_id bigint, {STATS}")
+    placed = cut(docs.drop("of").mapInArrow(_place(profiles), f"doc_id bigint, {_PLACED}"), "placed")
+    profiles.fit(placed.where("varied IS NOT NULL"), clear_sums_of)
+    return placed.withColumn("profile", _nearest(profiles.centres)(*_PLACE)).drop("varied")
 
 
 def not_prose(documents: DataFrame, common_words: DataFrame) -> DataFrame:

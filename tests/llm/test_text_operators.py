@@ -196,6 +196,41 @@ def test_structural_centres_follow_clear_texts_only():
     assert not quality.np.isnan(q.centres).any()
 
 
+def test_structural_centres_are_fitted_to_all_documents(spark):
+    """The 20,000 documents with the smallest hashes are prose, so that the other kinds are seen in all of them only."""
+    import random
+
+    r, np = random.Random(7), quality.np
+    common = spark.createDataFrame([("en", w, i) for i, w in enumerate("the of and to was it they were".split(), 1)], "lang string, word string, freq_rank int")
+    items = ["a lamp", "bell jar", "iron key", "old map", "clay pipe", "tin whistle", "Zev, cook, 12, acid", "+>;;$!*~", "wax seal!"]
+    prose = "They were at the old stair, and it was closed."
+    mixed = [" ".join([prose] * r.randint(0, 3)) + "\n" + "\n".join(f"- {x}" if r.random() < 0.5 else x for x in r.choices(items, k=r.choice((1, 4, 9)))) for _ in range(12_000)]
+    df = spark.createDataFrame(list(enumerate([prose] * 30_000 + mixed)), "doc_id bigint, text string").repartition(5)
+    df = df.where((F.col("doc_id") < 30_000) == (F.xxhash64("doc_id", F.length("text").cast("bigint")) < 1 << 62))
+    ids, texts = zip(*df.collect())
+    assert sum(i < 30_000 for i in ids) >= 20_000
+    measured = quality.pa.Table.from_batches(quality._measure(quality.Lexicon([tuple(x) for x in common.collect()]))([quality.pa.RecordBatch.from_pydict({"doc_id": ids, "text": texts})])).to_pylist()
+    sums = {x["best_lang"]: x for x in measured if x["of"] == "prose"}
+    rows = [x for x in measured if x["of"] == "doc" and x["shares"]]
+    q = quality.Profiles(*({k: np.array(x[part]) for k, x in sums.items()} for part in ("words", "classes")))
+    places = q.places({k: np.array([x[k] for x in rows], float) if k in ("shares", "words", "classes") else [x[k] for x in rows] for k in rows[0]})
+    q.fit(places)
+    nearest = (quality._WEIGHTS * (q.centres[None] - places[:, None]) ** 2).sum(2).argmin(1)
+    want = {x["doc_id"]: quality._KIND.get(quality._NAMES[k], "junk") for x, k in zip(rows, nearest)}
+    assert len(set(want.values())) > 2
+    assert {x.doc_id: x.profile for x in quality.quality(df, common).collect() if x.profile} == want
+
+
+def test_structural_centres_do_not_hang_on_the_size_of_the_table():
+    r = quality.np.random.default_rng(3)
+    seeds = quality.Profiles({}, {}).centres
+    places = seeds[r.integers(0, len(seeds), 30_000)] + r.normal(0, 0.05, (30_000, 7))
+    one, many = quality.Profiles({}, {}), quality.Profiles({}, {})
+    one.fit(places)
+    many.fit(quality.np.tile(places, (4, 1)))
+    assert many.centres == pytest.approx(one.centres, abs=1e-9) and (one.centres != seeds).any()
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
 def test_queries_run(spark):
     from glossmill.llm import queries
